@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -20,14 +22,44 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     # Re-running one warehouse window replaces only the partitions it touches.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # RocksDB state commits write a changelog, not a full snapshot, per micro-batch.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``txwatch`` importable in Python workers (stateful processors run there).
+
+    On a cluster the launcher usually ships it with ``--py-files``; this does the same
+    at run time, once per application: the package is zipped and added with
+    ``addPyFile``, which distributes it to every executor and worker.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="txwatch-pyfiles-")
+    archive = os.path.join(out_dir, "txwatch.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings txwatch needs to an existing session."""
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    ship_package(spark)
     return spark
 
 

@@ -15,22 +15,49 @@ def table_exists(spark: SparkSession, path: str) -> bool:
         fs.exists(hpath) and len(fs.listStatus(hpath)) > 0)
 
 
+def batch_bounds(batch: DataFrame, partition_col: str, time_col: str) -> dict:
+    """Partition values and time range of one micro-batch, in one small job.
+
+    Used to prune the stored table before a key check: the distinct dates of one
+    batch are few (bounded by the batch's time span), so fetching them is cheap.
+    """
+    row = batch.agg(F.collect_set(partition_col).alias("values"),
+                    F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
+    return {"values": list(row["values"] or []), "lo": row["lo"], "hi": row["hi"]}
+
+
+def stored_slice(spark: SparkSession, path: str, bounds: dict | None,
+                 partition_col: str | None, time_col: str | None) -> DataFrame:
+    """The part of a stored table a batch can collide with: its partitions (directory
+    pruning) and its time range (Parquet min/max statistics skip other files)."""
+    stored = spark.read.parquet(path)
+    if bounds and partition_col:
+        # partition values compare as text: date=YYYY-MM-DD directories
+        values = [v.isoformat() if hasattr(v, "isoformat") else str(v) for v in bounds["values"]]
+        stored = stored.where(F.col(partition_col).cast("string").isin(values))
+    if bounds and time_col and bounds["lo"] is not None:
+        stored = stored.where(F.col(time_col).between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
+    return stored
+
+
 def insert_or_ignore_parquet(batch: DataFrame, path: str, keys: list[str],
-                             partition_col: str | None = None) -> None:
+                             partition_col: str | None = None,
+                             time_col: str | None = None,
+                             bounds: dict | None = None,
+                             deduplicated: bool = False) -> None:
     """Append the rows whose key is not stored yet (a primary-key insert that skips
     duplicates instead of failing, so replays and retries are harmless).
 
-    With ``partition_col`` the stored table is partitioned by it, and only the
-    partitions present in the batch are read for the key check: the distinct
-    partition values of one batch (dates) are few, so they are fetched to prune.
+    The key check reads only the stored slice the batch can collide with (see
+    ``stored_slice``); a replayed transaction keeps its event time, so it always lands
+    in that slice.  ``deduplicated`` skips the in-batch dedup when the caller did it.
     """
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(keys)
+    fresh = batch if deduplicated else batch.dropDuplicates(keys)
     if table_exists(spark, path):
-        stored = spark.read.parquet(path)
-        if partition_col:
-            values = [r[0] for r in fresh.select(partition_col).distinct().collect()]
-            stored = stored.where(F.col(partition_col).isin(values))
+        if bounds is None and partition_col:
+            bounds = batch_bounds(fresh, partition_col, time_col or partition_col)
+        stored = stored_slice(spark, path, bounds, partition_col, time_col)
         fresh = fresh.join(stored.select(*keys), keys, "left_anti")
     writer = fresh.write.mode("append")
     if partition_col:

@@ -1,14 +1,22 @@
-"""The speed layer: two streaming queries over one parsed transaction stream.
-
-1. ``ledger`` (stateless, append): each micro-batch is persisted once and fans out to
-   HIGH_VALUE alerts, validated rows and the raw ledger, each an insert-or-ignore
-   sink, so a replayed batch writes nothing twice.
-2. ``travel`` (stateful): watermark, replay dedup within the watermark, then the
-   keyed processor of ``travel_state``; its rows go to the alert table as
-   IMPOSSIBLE_TRAVEL, insert-or-ignore on (transaction_id, fraud_reason).
-
-Sinks default to Parquet tables under one root (partitioned by event date); the clock
-that stamps detected_at / batch_processed_at / ingested_at is injectable.
+"""The speed layer: two streaming queries.
+
+1. ``ledger`` (stateless, append) reads the parsed message stream.  Each micro-batch
+   is de-duplicated by transaction once, persisted once, and fans out to HIGH_VALUE
+   alerts, validated rows and the raw ledger, each an insert-or-ignore sink, so a
+   replayed batch writes nothing twice.
+2. ``travel`` reads the raw ledger table as a file stream (so every row it sees is
+   already stored), keeps per (10-minute window, user) only the lowest and highest
+   country and a count in built-in streaming state (watermark 5 minutes, update
+   mode), and for the windows flagged in a micro-batch semi-joins the stored raw rows
+   (pruned to the batch's dates and time range) into IMPOSSIBLE_TRAVEL alerts.  A
+   window that changes again is flagged again; the insert-or-ignore alert sink keeps
+   one alert per (transaction_id, fraud_reason).
+
+``travel_stream`` is a second form of rule 2 that reads the message stream directly
+and keeps the held rows in keyed state (``travel_state``); it emits each row once.
+
+Sinks are Parquet tables under one root, partitioned by event date; the clock that
+stamps detected_at / batch_processed_at / ingested_at is injectable.
 """
 
 from __future__ import annotations
@@ -20,13 +28,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txwatch import config
-from txwatch.functions.columns import window_start
+from pyspark.sql.types import DateType, StructField, StructType
+
+from txwatch import config, schema
+from txwatch.functions.columns import country_of, window_start
 from txwatch.operators import alerts as alert_ops
 from txwatch.operators import ledger, rules
-from txwatch.sinks.writers import insert_or_ignore_parquet
+from txwatch.operators.skew import semi_join_split_hot
+from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
+from txwatch.sinks.writers import batch_bounds, insert_or_ignore_parquet, table_exists
 from txwatch.streaming.travel_state import OUTPUT_SCHEMA, TravelProcessor
 
+RAW_STREAM_SCHEMA = StructType(
+    list(schema.RAW_TABLE.fields) + [StructField("event_date", DateType(), True)])
+
 # A clock gives the value of a stored time column ("detected_at",
 # "batch_processed_at" or "ingested_at") for the rows being written.
 Clock = Callable[[str], Column]
@@ -70,36 +85,90 @@ def _with_event_date(df: DataFrame) -> DataFrame:
 
 def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
                        clock: Clock = processing_time) -> None:
-    """Fan one stateless micro-batch out to alerts, validated and raw tables."""
-    if batch.isEmpty():
-        return
-    batch = batch.persist()
+    """Fan one stateless micro-batch out to alerts, validated and raw tables.
+
+    Rows that cannot be stored (NULL in a NOT NULL column, too long, amount out of
+    NUMERIC(12,2)) are left out of every table instead of failing the query.
+    """
+    # One row per transaction, then contiguous time slices per task: every task writes
+    # few files per date, and their min/max statistics make later key checks cheap.
+    rows = _with_event_date(
+        batch.where(F.col("transaction_id").isNotNull()).dropDuplicates(["transaction_id"]))
+    rows = rows.repartitionByRange("event_date", "event_timestamp").persist()
     try:
-        hv = rules.high_value(batch)
-        hv_alerts = alert_ops.alert_rows(hv, config.HIGH_VALUE)
-        insert_or_ignore_parquet(
-            _with_event_date(hv_alerts.withColumn("detected_at", clock("detected_at"))),
-            sinks.alerts, ["transaction_id", "fraud_reason"], "event_date")
-        valid = ledger.ledger_rows(rules.validated(batch))
-        insert_or_ignore_parquet(
-            _with_event_date(valid.withColumn("batch_processed_at", clock("batch_processed_at"))),
-            sinks.validated, ["transaction_id"], "event_date")
-        raw = ledger.ledger_rows(batch.where(F.col("amount").isNotNull()))
-        insert_or_ignore_parquet(
-            _with_event_date(raw.withColumn("ingested_at", clock("ingested_at"))),
-            sinks.raw, ["transaction_id"], "event_date")
+        bounds = batch_bounds(rows, "event_date", "event_timestamp")
+        if bounds["lo"] is None:
+            return
+        sink = dict(partition_col="event_date", time_col="event_timestamp",
+                    bounds=bounds, deduplicated=True)
+        keep = ["event_date"]
+        hv_alerts, _ = ledger.conform(
+            alert_ops.alert_rows(rules.high_value(rows), config.HIGH_VALUE)
+            .withColumn("event_date", F.col("event_timestamp").cast("date")),
+            ALERT_COLUMNS + keep)
+        insert_or_ignore_parquet(hv_alerts.withColumn("detected_at", clock("detected_at")),
+                                 sinks.alerts, ["transaction_id", "fraud_reason"], **sink)
+        valid, _ = ledger.conform(rules.validated(rows), LEDGER_COLUMNS + keep)
+        insert_or_ignore_parquet(valid.withColumn("batch_processed_at", clock("batch_processed_at")),
+                                 sinks.validated, ["transaction_id"], **sink)
+        raw, _ = ledger.conform(rows, LEDGER_COLUMNS + keep)
+        insert_or_ignore_parquet(raw.withColumn("ingested_at", clock("ingested_at")),
+                                 sinks.raw, ["transaction_id"], **sink)
     finally:
-        batch.unpersist()
+        rows.unpersist()
 
 
 def write_travel_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
                        clock: Clock = processing_time) -> None:
-    if batch.isEmpty():
-        return
-    alerts = alert_ops.alert_rows(batch, config.IMPOSSIBLE_TRAVEL)
-    insert_or_ignore_parquet(
-        _with_event_date(alerts.withColumn("detected_at", clock("detected_at"))),
-        sinks.alerts, ["transaction_id", "fraud_reason"], "event_date")
+    """Rows of a travel stream -> IMPOSSIBLE_TRAVEL alerts (insert-or-ignore)."""
+    alerts, _ = ledger.conform(
+        _with_event_date(alert_ops.alert_rows(batch, config.IMPOSSIBLE_TRAVEL)),
+        ALERT_COLUMNS + ["event_date"])
+    insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
+                             sinks.alerts, ["transaction_id", "fraud_reason"],
+                             partition_col="event_date", time_col="event_timestamp")
+
+
+def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
+                          clock: Clock = processing_time,
+                          window: str = config.TRAVEL_WINDOW) -> None:
+    """Flagged (window, user) groups of one micro-batch -> alerts for all their rows.
+
+    The rows come from the raw ledger, read only for the dates and time range the
+    flagged windows cover; hot windows are split over several join tasks.
+    """
+    groups = flagged.select(
+        "user_id", F.col("window.start").alias("window_start"),
+        F.col("window.end").alias("window_end"), "n_transactions",
+    ).persist()
+    try:
+        bounds = groups.agg(
+            F.collect_set(F.to_date("window_start")).alias("d0"),
+            F.collect_set(F.to_date(F.col("window_end") - F.expr("INTERVAL 1 MICROSECOND")))
+            .alias("d1"),
+            F.min("window_start").alias("lo"), F.max("window_end").alias("hi"),
+        ).first()
+        if bounds["lo"] is None:
+            return
+        dates = sorted(d.isoformat() for d in set(bounds["d0"]) | set(bounds["d1"]))
+        stored = (spark_read(flagged, sinks.raw)
+                  .where(F.col("event_date").cast("string").isin(dates))
+                  .where((F.col("event_timestamp") >= F.lit(bounds["lo"]))
+                         & (F.col("event_timestamp") < F.lit(bounds["hi"]))))
+        rows = rules.windowed(stored.withColumn("country", country_of("location")), window)
+        flagged_rows = semi_join_split_hot(rows, groups, rules.GROUP_KEYS,
+                                           rows_col="n_transactions", salt_col="transaction_id")
+        alerts = alert_ops.alert_rows(flagged_rows, config.IMPOSSIBLE_TRAVEL) \
+            .withColumn("event_date", F.col("event_timestamp").cast("date"))
+        insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
+                                 sinks.alerts, ["transaction_id", "fraud_reason"],
+                                 partition_col="event_date", time_col="event_timestamp")
+    finally:
+        groups.unpersist()
+
+
+def spark_read(df: DataFrame, path: str) -> DataFrame:
+    return df.sparkSession.read.parquet(path)
 
 
 def travel_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
@@ -135,13 +204,23 @@ def travel_windows_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
     )
 
 
+def raw_ledger_stream(spark, sinks: SinkPaths, max_files_per_trigger: int | None = None
+                      ) -> DataFrame:
+    """The raw ledger table as a stream of newly stored rows (file source)."""
+    reader = spark.readStream.schema(RAW_STREAM_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return (reader.parquet(sinks.raw)
+            .withColumn("country", country_of("location")))
+
+
 @dataclass
 class Detector:
-    ledger: StreamingQuery
-    travel: StreamingQuery
+    ledger: StreamingQuery | None = None
+    travel: StreamingQuery | None = None
 
     def queries(self) -> list[StreamingQuery]:
-        return [self.ledger, self.travel]
+        return [q for q in (self.ledger, self.travel) if q is not None]
 
     def wait(self) -> None:
         for q in self.queries():
@@ -152,25 +231,60 @@ class Detector:
             q.stop()
 
 
+def _trigger(writer, available_now: bool, every: str):
+    return writer.trigger(availableNow=True) if available_now \
+        else writer.trigger(processingTime=every)
+
+
+def start_ledger(tx: DataFrame, sinks: SinkPaths, checkpoint: str,
+                 clock: Clock = processing_time, available_now: bool = False,
+                 trigger: str = "5 seconds") -> StreamingQuery:
+    return _trigger(
+        tx.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda df, bid: write_ledger_batch(df, bid, sinks, clock)),
+        available_now, trigger).start()
+
+
+def start_travel(spark, sinks: SinkPaths, checkpoint: str,
+                 clock: Clock = processing_time, available_now: bool = False,
+                 trigger: str = "30 seconds") -> StreamingQuery:
+    """The travel rule over the raw ledger stream (the ledger must have been written
+    at least once, so the table exists)."""
+    flagged = travel_windows_stream(raw_ledger_stream(spark, sinks))
+    return _trigger(
+        flagged.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda df, bid: write_flagged_windows(df, bid, sinks, clock)),
+        available_now, trigger).start()
+
+
+def start_travel_stateful(tx: DataFrame, sinks: SinkPaths, checkpoint: str,
+                          clock: Clock = processing_time, available_now: bool = False,
+                          trigger: str = "30 seconds") -> StreamingQuery:
+    """The travel rule with rows held in keyed state (no ledger dependency)."""
+    return _trigger(
+        travel_stream(tx).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda df, bid: write_travel_batch(df, bid, sinks, clock)),
+        available_now, trigger).start()
+
+
 def start(tx: DataFrame, sinks: SinkPaths, checkpoint_root: str,
           clock: Clock = processing_time, available_now: bool = False,
           ledger_trigger: str = "5 seconds", travel_trigger: str = "30 seconds") -> Detector:
-    """Start both queries; each has its own checkpoint folder under ``checkpoint_root``."""
-    def trigger(writer, every):
-        return writer.trigger(availableNow=True) if available_now \
-            else writer.trigger(processingTime=every)
+    """Start the speed layer; each query has its own checkpoint under ``checkpoint_root``.
 
+    With ``available_now`` (backfill, tests) the ledger is drained first and the travel
+    query then drains the ledger table.  Otherwise both run continuously; the travel
+    query starts once the ledger table exists.
+    """
     base = checkpoint_root.rstrip("/")
-    ledger_q = trigger(
-        tx.writeStream.outputMode("append")
-        .option("checkpointLocation", f"{base}/ledger")
-        .foreachBatch(lambda df, bid: write_ledger_batch(df, bid, sinks, clock)),
-        ledger_trigger,
-    ).start()
-    travel_q = trigger(
-        travel_stream(tx).writeStream.outputMode("append")
-        .option("checkpointLocation", f"{base}/travel")
-        .foreachBatch(lambda df, bid: write_travel_batch(df, bid, sinks, clock)),
-        travel_trigger,
-    ).start()
+    spark = tx.sparkSession
+    ledger_q = start_ledger(tx, sinks, f"{base}/ledger", clock, available_now, ledger_trigger)
+    if available_now:
+        ledger_q.awaitTermination()
+    elif not table_exists(spark, sinks.raw):
+        ledger_q.processAllAvailable()
+    travel_q = None
+    if table_exists(spark, sinks.raw):
+        travel_q = start_travel(spark, sinks, f"{base}/travel", clock, available_now,
+                                travel_trigger)
     return Detector(ledger=ledger_q, travel=travel_q)

@@ -15,9 +15,11 @@ emitted in Arrow batches, never as one list per window.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import (
     BooleanType, DoubleType, StringType, StructField, StructType, TimestampType,
@@ -111,3 +113,8 @@ class TravelProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# The processor is sent to Python workers by value, so they need not import txwatch
+# (the driver-side stateful worker does not see files added with addPyFile).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
