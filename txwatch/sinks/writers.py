@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -26,11 +27,21 @@ def batch_bounds(batch: DataFrame, partition_col: str, time_col: str) -> dict:
     return {"values": list(row["values"] or []), "lo": row["lo"], "hi": row["hi"]}
 
 
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A stored Parquet table; with its declared schema an empty table (a folder with
+    no data files yet) reads as zero rows instead of failing schema inference."""
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(path)
+
+
 def stored_slice(spark: SparkSession, path: str, bounds: dict | None,
-                 partition_col: str | None, time_col: str | None) -> DataFrame:
+                 partition_col: str | None, time_col: str | None,
+                 schema: StructType | None = None) -> DataFrame:
     """The part of a stored table a batch can collide with: its partitions (directory
     pruning) and its time range (Parquet min/max statistics skip other files)."""
-    stored = spark.read.parquet(path)
+    stored = read_table(spark, path, schema)
     if bounds and partition_col:
         # partition values compare as text: date=YYYY-MM-DD directories
         values = [v.isoformat() if hasattr(v, "isoformat") else str(v) for v in bounds["values"]]
@@ -57,7 +68,7 @@ def insert_or_ignore_parquet(batch: DataFrame, path: str, keys: list[str],
     if table_exists(spark, path):
         if bounds is None and partition_col:
             bounds = batch_bounds(fresh, partition_col, time_col or partition_col)
-        stored = stored_slice(spark, path, bounds, partition_col, time_col)
+        stored = stored_slice(spark, path, bounds, partition_col, time_col, fresh.schema)
         fresh = fresh.join(stored.select(*keys), keys, "left_anti")
     writer = fresh.write.mode("append")
     if partition_col:

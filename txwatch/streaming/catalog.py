@@ -51,21 +51,21 @@ def run_feed(spark: SparkSession, sf_dir: str, travel: bool = True) -> detector.
 
 def stream_high_value(spark, sf_dir):
     sinks = run_feed(spark, sf_dir, travel=False)
-    alerts = spark.read.parquet(sinks.alerts)
+    alerts = detector.read_alerts(spark, sinks)
     return amounts_as_double(alerts.where(F.col("fraud_reason") == config.HIGH_VALUE)
                              .select(*ALERT_COLUMNS, "detected_at"))
 
 
 def stream_travel(spark, sf_dir):
     sinks = run_feed(spark, sf_dir)
-    alerts = spark.read.parquet(sinks.alerts)
+    alerts = detector.read_alerts(spark, sinks)
     return amounts_as_double(alerts.where(F.col("fraud_reason") == config.IMPOSSIBLE_TRAVEL)
                              .select(*ALERT_COLUMNS, "detected_at"))
 
 
 def stream_validated(spark, sf_dir):
     sinks = run_feed(spark, sf_dir, travel=False)
-    return amounts_as_double(spark.read.parquet(sinks.validated).select(*LEDGER_COLUMNS))
+    return amounts_as_double(detector.read_validated(spark, sinks).select(*LEDGER_COLUMNS))
 
 
 STREAM_QUERIES = {

@@ -36,11 +36,19 @@ from txwatch.operators import alerts as alert_ops
 from txwatch.operators import ledger, rules
 from txwatch.operators.skew import semi_join_split_hot
 from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
-from txwatch.sinks.writers import batch_bounds, insert_or_ignore_parquet, table_exists
+from txwatch.sinks.writers import (
+    batch_bounds, insert_or_ignore_parquet, read_table, table_exists,
+)
 from txwatch.streaming.travel_state import OUTPUT_SCHEMA, TravelProcessor
 
-RAW_STREAM_SCHEMA = StructType(
-    list(schema.RAW_TABLE.fields) + [StructField("event_date", DateType(), True)])
+def _dated(table: StructType) -> StructType:
+    """A stored table's schema as written by the speed layer (+ event_date partition)."""
+    return StructType(list(table.fields) + [StructField("event_date", DateType(), True)])
+
+
+RAW_STREAM_SCHEMA = _dated(schema.RAW_TABLE)
+ALERT_STREAM_SCHEMA = _dated(schema.ALERT_TABLE)
+VALIDATED_STREAM_SCHEMA = _dated(schema.VALIDATED_TABLE)
 
 # A clock gives the value of a stored time column ("detected_at",
 # "batch_processed_at" or "ingested_at") for the rows being written.
@@ -151,7 +159,7 @@ def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
         if bounds["lo"] is None:
             return
         dates = sorted(d.isoformat() for d in set(bounds["d0"]) | set(bounds["d1"]))
-        stored = (spark_read(flagged, sinks.raw)
+        stored = (read_table(flagged.sparkSession, sinks.raw, RAW_STREAM_SCHEMA)
                   .where(F.col("event_date").cast("string").isin(dates))
                   .where((F.col("event_timestamp") >= F.lit(bounds["lo"]))
                          & (F.col("event_timestamp") < F.lit(bounds["hi"]))))
@@ -167,8 +175,16 @@ def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
         groups.unpersist()
 
 
-def spark_read(df: DataFrame, path: str) -> DataFrame:
-    return df.sparkSession.read.parquet(path)
+def read_alerts(spark, sinks: SinkPaths) -> DataFrame:
+    return read_table(spark, sinks.alerts, ALERT_STREAM_SCHEMA)
+
+
+def read_validated(spark, sinks: SinkPaths) -> DataFrame:
+    return read_table(spark, sinks.validated, VALIDATED_STREAM_SCHEMA)
+
+
+def read_raw(spark, sinks: SinkPaths) -> DataFrame:
+    return read_table(spark, sinks.raw, RAW_STREAM_SCHEMA)
 
 
 def travel_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
