@@ -105,7 +105,11 @@ def report_rows(reconciled: DataFrame, generated_at: Column) -> DataFrame:
     report_id numbers the rows by (window_start, generated_at), as a sequence
     would for runs in window order; numbering goes per day of window start.
     """
-    rows = reconciled.withColumn("generated_at", generated_at)
+    return number_reports(reconciled.withColumn("generated_at", generated_at))
+
+
+def number_reports(rows: DataFrame) -> DataFrame:
+    """Stored reconciliation rows (history, one per run) with their report_id."""
     return dense_number(rows, ["window_start", "generated_at"],
                         F.to_date("window_start"), "report_id") \
         .select("report_id", *RECONCILED_COLUMNS, "generated_at")
@@ -141,4 +145,4 @@ def reconciliation_summary(rows: DataFrame) -> DataFrame:
 
 
 __all__ = ["window_bounds", "reconcile_window", "reconcile_all_windows", "report_rows",
-           "reconciliation_report", "reconciliation_summary", "money"]
+           "number_reports", "reconciliation_report", "reconciliation_summary", "money"]
