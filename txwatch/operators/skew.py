@@ -33,21 +33,23 @@ def semi_join_split_hot(rows: DataFrame, groups: DataFrame, keys: list[str],
     ``groups`` has one row per key and, in ``rows_col``, how many rows of ``rows``
     carry that key (it comes from the aggregation that selected the groups, so
     knowing it costs nothing).  A group above ``hot_rows`` rows is split into
-    ceil(rows / hot_rows) slices: each of its rows goes to slice
-    hash(salt_col) mod slices, and the group's key is repeated once per slice on the
-    other side, so the join on (keys, slice) spreads the group over that many tasks.
-    The hot-key table is bounded by ``max_hot`` rows and broadcast; every other key
-    has one slice.  No row is dropped and none is duplicated.
+    ceil(rows / hot_rows) slices: the group's key is repeated once per slice on the
+    groups side, and each of its rows goes to slice hash(salt_col) mod slices, so the
+    join on (keys, slice) spreads the group over that many tasks.
+
+    The rows side learns the slice count of its group from the largest groups only
+    (at most ``max_hot`` rows: a bounded table, broadcast).  A row of any other group
+    takes slice 0, which every group has, so no row is lost or duplicated; a hot group
+    beyond the largest ``max_hot`` is simply not split.
     """
     hot = F.broadcast(hot_groups(groups, keys, rows_col, hot_rows, max_hot, max_slices))
-    n_slices = F.coalesce(F.col("_slices"), F.lit(1))
     left = (
         rows.join(hot, keys, "left")
-        .withColumn("_slice", F.pmod(F.xxhash64(F.col(salt_col)), n_slices).cast("int"))
+        .withColumn("_slice", F.pmod(F.xxhash64(F.col(salt_col)),
+                                     F.coalesce(F.col("_slices"), F.lit(1))).cast("int"))
         .drop("_slices")
     )
-    right = (
-        groups.select(*keys).join(hot, keys, "left")
-        .select(*keys, F.explode(F.sequence(F.lit(0), n_slices - 1)).alias("_slice"))
-    )
+    own_slices = F.greatest(F.lit(1), F.least(F.ceil(F.col(rows_col) / F.lit(hot_rows)),
+                                              F.lit(max_slices))).cast("int")
+    right = groups.select(*keys, F.explode(F.sequence(F.lit(0), own_slices - 1)).alias("_slice"))
     return left.join(right, keys + ["_slice"], "left_semi").drop("_slice")

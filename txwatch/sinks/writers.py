@@ -9,9 +9,16 @@ from pyspark.sql.types import StructType
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when a Parquet table has been written at ``path`` (any file system)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    except Exception:  # noqa: BLE001 - no JVM handle (remote session): ask the reader
+        try:
+            spark.read.parquet(path).schema  # noqa: B018
+            return True
+        except Exception:  # noqa: BLE001
+            return False
     return fs.exists(jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")) or (
         fs.exists(hpath) and len(fs.listStatus(hpath)) > 0)
 
