@@ -68,6 +68,10 @@ def test_observe_counts_per_batch(spark, tmp_path):
                 if p.get("observedMetrics")]
         assert sum(r["rows"] for r in rows) == 1000
         assert sum(r["high_value"] for r in rows) == 136
+        import time
+        deadline = time.time() + 20           # listener events arrive asynchronously
+        while not listener.batches and time.time() < deadline:
+            time.sleep(0.2)
         assert listener.batches and listener.batches[0]["input_rows"] == 1000
     finally:
         spark.streams.removeListener(listener)

@@ -123,3 +123,14 @@ def test_percent_and_average_round_half_up(spark):
     r = df.select(avg_cents("s", "n").alias("a"), pct("p", "w").alias("q")).first()
     assert r["a"] == 5.03          # 5.025 -> 5.03 (half up, exact)
     assert r["q"] == 12.5
+
+
+def test_options_distinct_amount_and_exclude_travel(spark):
+    from txwatch.operators import alerts as alert_ops, reports
+    tx = parsed(spark)
+    alerts = alert_ops.fraud_alerts(tx, F.col("event_timestamp"))
+    row = reports.count_and_sum(alerts.where("transaction_id = 'd1'"), "n", "amt",
+                                "transaction_id", distinct_amount=True).first()
+    assert row["n"] == 1 and float(row["amt"]) == 9000.0
+    kept = ids(rules.validated(tx, exclude_travel=True))
+    assert "b1" not in kept and "d2" not in kept and "a1" in kept

@@ -39,19 +39,22 @@ def _totals(raw: DataFrame, alerts: DataFrame, validated: DataFrame):
 
 
 def reconcile_window(raw: DataFrame, alerts: DataFrame, validated: DataFrame,
-                     window_end, hours: int = config.BATCH_WINDOW_HOURS) -> DataFrame:
+                     window_end, hours: int = config.BATCH_WINDOW_HOURS,
+                     distinct_amount: bool = False) -> DataFrame:
     """One row for one window: counts and amounts of the three tables.
 
     The fraud count is distinct by transaction but its amount is a plain sum over
     alert rows (a row matching both rules counts its amount twice), as the reference
-    computes it.  Empty ranges give 0, not NULL.
+    computes it; ``distinct_amount`` counts each flagged transaction's amount once.
+    Empty ranges give 0, not NULL.
     """
     start, end = window_bounds(window_end, hours)
     parts = []
     for name, table in _totals(raw, alerts, validated).items():
         time_col, n_alias, amount_alias, distinct = TIME_AXES[name]
         rows = window_scan(table, time_col, to_ts(start), to_ts(end))
-        parts.append(count_and_sum(rows, n_alias, amount_alias, distinct))
+        parts.append(count_and_sum(rows, n_alias, amount_alias, distinct,
+                                   distinct_amount=distinct_amount))
     return (
         side_by_side(*parts)
         .select(to_ts(start).alias("window_start"), to_ts(end).alias("window_end"),

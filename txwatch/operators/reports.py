@@ -29,9 +29,17 @@ def window_scan(table: DataFrame, time_col: str, start, end) -> DataFrame:
 
 
 def count_and_sum(rows: DataFrame, count_alias: str, amount_alias: str,
-                  distinct_key: str | None = None) -> DataFrame:
-    """One row: COUNT(*) (or COUNT(DISTINCT key)) and COALESCE(SUM(amount), 0)."""
+                  distinct_key: str | None = None, distinct_amount: bool = False) -> DataFrame:
+    """One row: COUNT(*) (or COUNT(DISTINCT key)) and COALESCE(SUM(amount), 0).
+
+    With a distinct key the amount is still summed over all rows (an alert per rule),
+    unless ``distinct_amount``: then each key's amount counts once.
+    """
     n = F.countDistinct(distinct_key) if distinct_key else F.count(F.lit(1))
+    if distinct_key and distinct_amount:
+        per_key = rows.groupBy(distinct_key).agg(F.max(money("amount")).alias("amount"))
+        return per_key.agg(F.count(F.lit(1)).cast("long").alias(count_alias),
+                           money_sum("amount").alias(amount_alias))
     return rows.agg(n.cast("long").alias(count_alias), money_sum("amount").alias(amount_alias))
 
 

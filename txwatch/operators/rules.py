@@ -24,9 +24,14 @@ def high_value(tx: DataFrame) -> DataFrame:
     return tx.where(is_high_value("amount"))
 
 
-def validated(tx: DataFrame) -> DataFrame:
-    """Rows with amount <= 5000 (travel-flagged rows included, as the reference does)."""
-    return tx.where(is_validated("amount"))
+def validated(tx: DataFrame, exclude_travel: bool = False) -> DataFrame:
+    """Rows with amount <= 5000.  Travel-flagged rows are included by default (so
+    fraud + validated can exceed ingress); ``exclude_travel`` leaves them out."""
+    rows = tx.where(is_validated("amount"))
+    if exclude_travel:
+        flagged = impossible_travel(tx).select("transaction_id").distinct()
+        rows = rows.join(flagged, "transaction_id", "left_anti")
+    return rows
 
 
 def windowed(tx: DataFrame, window: str = config.TRAVEL_WINDOW) -> DataFrame:

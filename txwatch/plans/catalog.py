@@ -26,9 +26,9 @@ WINDOW_END = "2024-01-15 00:00:00"
 RECENT_K = 20
 
 
-def _tx(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tx(spark: SparkSession, sf_dir: str, event_range=None) -> DataFrame:
     configure(spark)
-    return events_feed.transactions(spark, sf_dir)
+    return events_feed.transactions(spark, sf_dir, event_range)
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> events_feed.StoredTables:
@@ -40,6 +40,32 @@ def _window():
     return to_ts(start), to_ts(end)
 
 
+def _window_tables(spark: SparkSession, sf_dir: str) -> events_feed.StoredTables:
+    """Stored tables as far as one batch window can see them.
+
+    The window reads ingress at event time, alerts at event + 1 minute and validated
+    rows at event + 2 minutes, so it needs events in [start - 2 min, end).  Widened
+    to whole travel windows, [floor10(start - 2 min), ceil10(end)), the travel rule
+    flags exactly the same groups, and the range reaches the Parquet scan instead of
+    the rule running over all history.
+    """
+    start, end = reconcile.window_bounds(WINDOW_END)
+    lo, hi = travel_aligned_range(start, end, lead_minutes=2)
+    return events_feed.stored_tables(_tx(spark, sf_dir, (lo, hi)))
+
+
+def travel_aligned_range(start: str, end: str, lead_minutes: int):
+    """[floor(start - lead), ceil(end)) on the travel-window grid, as text."""
+    from datetime import datetime, timedelta
+    step = int(config.TRAVEL_WINDOW.split()[0]) * 60
+    epoch = datetime(1970, 1, 1)
+    s = (datetime.fromisoformat(start) - timedelta(minutes=lead_minutes) - epoch).total_seconds()
+    e = (datetime.fromisoformat(end) - epoch).total_seconds()
+    lo = epoch + timedelta(seconds=(s // step) * step)
+    hi = epoch + timedelta(seconds=-(-e // step) * step)
+    return lo.isoformat(sep=" "), hi.isoformat(sep=" ")
+
+
 # --- parse and rules -----------------------------------------------------------
 
 def parse_transactions(spark, sf_dir):
@@ -141,19 +167,19 @@ def insert_or_ignore(spark, sf_dir):
 def scan_ingress_window(spark, sf_dir):
     start, end = _window()
     return amounts_as_double(
-        reports.window_scan(_tables(spark, sf_dir).raw, "event_timestamp", start, end))
+        reports.window_scan(_window_tables(spark, sf_dir).raw, "event_timestamp", start, end))
 
 
 def scan_alerts_window(spark, sf_dir):
     start, end = _window()
     return amounts_as_double(
-        reports.window_scan(_tables(spark, sf_dir).alerts, "detected_at", start, end))
+        reports.window_scan(_window_tables(spark, sf_dir).alerts, "detected_at", start, end))
 
 
 def scan_validated_window(spark, sf_dir):
     start, end = _window()
     return amounts_as_double(
-        reports.window_scan(_tables(spark, sf_dir).validated, "batch_processed_at", start, end))
+        reports.window_scan(_window_tables(spark, sf_dir).validated, "batch_processed_at", start, end))
 
 
 def _partition_values(ts_col):
@@ -164,7 +190,7 @@ def _partition_values(ts_col):
 def extract_validated(spark, sf_dir):
     """The warehouse extract of one window: 8 columns + its date/hour partition."""
     start, end = _window()
-    rows = reports.window_scan(_tables(spark, sf_dir).validated, "batch_processed_at", start, end)
+    rows = reports.window_scan(_window_tables(spark, sf_dir).validated, "batch_processed_at", start, end)
     return amounts_as_double(rows.select(*schema.WAREHOUSE_COLUMNS, *_partition_values(start)))
 
 
@@ -177,20 +203,20 @@ def warehouse_partitions(spark, sf_dir):
 
 def ingress_totals(spark, sf_dir):
     start, end = _window()
-    rows = reports.window_scan(_tables(spark, sf_dir).raw, "event_timestamp", start, end)
+    rows = reports.window_scan(_window_tables(spark, sf_dir).raw, "event_timestamp", start, end)
     return amounts_as_double(reports.count_and_sum(rows, "total_count", "total_amount"))
 
 
 def fraud_totals(spark, sf_dir):
     start, end = _window()
-    rows = reports.window_scan(_tables(spark, sf_dir).alerts, "detected_at", start, end)
+    rows = reports.window_scan(_window_tables(spark, sf_dir).alerts, "detected_at", start, end)
     return amounts_as_double(
         reports.count_and_sum(rows, "fraud_count", "fraud_amount", "transaction_id"))
 
 
 def validated_totals(spark, sf_dir):
     start, end = _window()
-    rows = reports.window_scan(_tables(spark, sf_dir).validated, "batch_processed_at", start, end)
+    rows = reports.window_scan(_window_tables(spark, sf_dir).validated, "batch_processed_at", start, end)
     return amounts_as_double(reports.count_and_sum(rows, "validated_count", "validated_amount"))
 
 
@@ -200,7 +226,7 @@ def table_counts(spark, sf_dir):
 
 def fraud_report(spark, sf_dir):
     start, end = _window()
-    rows = reports.window_scan(_tables(spark, sf_dir).alerts, "detected_at", start, end)
+    rows = reports.window_scan(_window_tables(spark, sf_dir).alerts, "detected_at", start, end)
     return amounts_as_double(reports.category_report(rows, rounded=True))
 
 
@@ -219,7 +245,7 @@ def flag_rate(spark, sf_dir):
 # --- reconciliation -------------------------------------------------------------
 
 def reconcile_window(spark, sf_dir):
-    t = _tables(spark, sf_dir)
+    t = _window_tables(spark, sf_dir)
     return amounts_as_double(reconcile.reconcile_window(t.raw, t.alerts, t.validated, WINDOW_END))
 
 

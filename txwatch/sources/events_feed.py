@@ -71,8 +71,15 @@ def transactions_from_events(events: DataFrame) -> DataFrame:
     ).withColumn("country", country_of("location"))
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_events(read_events(spark, sf_dir))
+def transactions(spark: SparkSession, sf_dir: str, event_range=None) -> DataFrame:
+    """The feed; ``event_range=(lo, hi)`` keeps lo <= ts < hi, filtered on the stored
+    column itself so Parquet skips row groups outside it (pushdown)."""
+    events = read_events(spark, sf_dir)
+    if event_range is not None:
+        lo, hi = event_range
+        events = events.where((F.col("ts") >= F.lit(str(lo)).cast("timestamp_ntz"))
+                              & (F.col("ts") < F.lit(str(hi)).cast("timestamp_ntz")))
+    return transactions_from_events(events)
 
 
 def dirty_transactions(tx: DataFrame) -> DataFrame:
