@@ -3,8 +3,6 @@
 import json
 from datetime import datetime
 
-from pyspark.sql import functions as F
-
 from txwatch import schema
 
 
@@ -70,6 +68,3 @@ def expected(flag_index):
 def ids(df):
     return sorted(r[0] for r in df.select("transaction_id").collect())
 
-
-def seconds(df, col):
-    return df.select(F.col(col))

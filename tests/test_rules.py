@@ -134,3 +134,29 @@ def test_options_distinct_amount_and_exclude_travel(spark):
     assert row["n"] == 1 and float(row["amt"]) == 9000.0
     kept = ids(rules.validated(tx, exclude_travel=True))
     assert "b1" not in kept and "d2" not in kept and "a1" in kept
+
+
+def test_dedup_alerts_keeps_first_detection(spark):
+    from txwatch.operators import alerts as alert_ops
+    rows = [("t1", "u", "IMPOSSIBLE_TRAVEL", "2024-01-01 00:05:00"),
+            ("t1", "u", "IMPOSSIBLE_TRAVEL", "2024-01-01 00:01:00"),
+            ("t1", "u", "HIGH_VALUE", "2024-01-01 00:09:00"),
+            ("t2", "v", "IMPOSSIBLE_TRAVEL", "2024-01-01 00:02:00")]
+    df = spark.createDataFrame(rows, "transaction_id string, user_id string, fraud_reason string, "
+                                     "detected_at string") \
+        .withColumn("detected_at", F.col("detected_at").cast("timestamp"))
+    got = {(r[0], r[1]): r[2] for r in alert_ops.dedup_alerts(df)
+           .select("transaction_id", "fraud_reason", "detected_at").collect()}
+    assert len(got) == 3
+    assert got[("t1", "IMPOSSIBLE_TRAVEL")] == datetime(2024, 1, 1, 0, 1)
+
+
+def test_salted_travel_equals_plain_semi_join_on_feed(spark):
+    """Every flagged group made 'hot' (1 row per slice): same rows as the plain join."""
+    from conftest import SF_SMALL
+    from txwatch.sources import events_feed
+    tx = events_feed.transactions(spark, SF_SMALL)
+    salted = rules.impossible_travel(tx, hot_rows=1, max_slices=4).select("transaction_id")
+    plain = rules.impossible_travel_semi(tx).select("transaction_id")
+    assert salted.count() == plain.count() == 20
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0

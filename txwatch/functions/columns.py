@@ -78,10 +78,6 @@ def window_start(ts, duration: str) -> Column:
     return F.window(col_or_name(ts), duration).start
 
 
-def hours_before(ts, hours: int) -> Column:
-    return col_or_name(ts) - F.expr(f"INTERVAL {int(hours)} HOURS")
-
-
 def in_range(c, start, end) -> Column:
     """Half-open range start <= c < end."""
     c = col_or_name(c)

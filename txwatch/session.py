@@ -102,20 +102,3 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
         spark.conf.set("spark.checkpoint.dir", root)
         spark.sparkContext.setCheckpointDir(root)
     return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint()`` write to the shared folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="txwatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
-
-
-def local_path(path: str) -> str:
-    """Strip a file: scheme so Python code can list local test output."""
-    return path[len("file:"):] if path.startswith("file:") else path
-

@@ -31,9 +31,6 @@ from txwatch.operators import ledger, rules
 # fixed values: country code by k mod 8, in order 0..7
 COUNTRY_CODES = ["LK", "US", "GB", "SG", "AU", "AE", "IN", "JP"]
 
-EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-
-
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
