@@ -62,16 +62,23 @@ def insert_or_ignore_parquet(batch: DataFrame, path: str, keys: list[str],
                              partition_col: str | None = None,
                              time_col: str | None = None,
                              bounds: dict | None = None,
-                             deduplicated: bool = False) -> None:
+                             deduplicated: bool = False,
+                             partitions: int | None = None) -> None:
     """Append the rows whose key is not stored yet (a primary-key insert that skips
     duplicates instead of failing, so replays and retries are harmless).
 
     The key check reads only the stored slice the batch can collide with (see
     ``stored_slice``); a replayed transaction keeps its event time, so it always lands
-    in that slice.  ``deduplicated`` skips the in-batch dedup when the caller did it.
+    in that slice.  ``deduplicated`` skips the in-batch dedup when the caller did it;
+    ``partitions`` sizes the dedup shuffle (micro-batch plans run without AQE).
     """
     spark = batch.sparkSession
-    fresh = batch if deduplicated else batch.dropDuplicates(keys)
+    if deduplicated:
+        fresh = batch
+    elif partitions:
+        fresh = batch.repartition(partitions, *keys).dropDuplicates(keys)
+    else:
+        fresh = batch.dropDuplicates(keys)
     if table_exists(spark, path):
         if bounds is None and partition_col:
             bounds = batch_bounds(fresh, partition_col, time_col or partition_col)

@@ -41,8 +41,10 @@ def run_feed(spark: SparkSession, sf_dir: str, travel: bool = True) -> detector.
     sinks = detector.SinkPaths(f"{root}/tables")
     tx = feed_stream(spark, sf_dir)
     if travel:
+        # window state spread over one partition per core of the application
         detector.start(tx, sinks, f"{root}/checkpoints", clock=FEED_CLOCK,
-                       available_now=True).wait()
+                       available_now=True,
+                       state_partitions=spark.sparkContext.defaultParallelism).wait()
     else:
         detector.start_ledger(tx, sinks, f"{root}/checkpoints/ledger", clock=FEED_CLOCK,
                               available_now=True).awaitTermination()

@@ -100,9 +100,13 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
     """
     # One row per transaction, then contiguous time slices per task: every task writes
     # few files per date, and their min/max statistics make later key checks cheap.
+    # Micro-batch plans run without AQE, so both shuffles are sized to the cores of the
+    # application instead of the session's shuffle partitions.
+    n = batch.sparkSession.sparkContext.defaultParallelism
     rows = _with_event_date(
-        batch.where(F.col("transaction_id").isNotNull()).dropDuplicates(["transaction_id"]))
-    rows = rows.repartitionByRange("event_date", "event_timestamp").persist()
+        batch.where(F.col("transaction_id").isNotNull())
+        .repartition(n, "transaction_id").dropDuplicates(["transaction_id"]))
+    rows = rows.repartitionByRange(n, "event_date", "event_timestamp").persist()
     try:
         bounds = batch_bounds(rows, "event_date", "event_timestamp")
         if bounds["lo"] is None:
@@ -134,7 +138,8 @@ def write_travel_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         ALERT_COLUMNS + ["event_date"])
     insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
                              sinks.alerts, ["transaction_id", "fraud_reason"],
-                             partition_col="event_date", time_col="event_timestamp")
+                             partition_col="event_date", time_col="event_timestamp",
+                             partitions=batch.sparkSession.sparkContext.defaultParallelism)
 
 
 def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
@@ -170,7 +175,8 @@ def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
             .withColumn("event_date", F.col("event_timestamp").cast("date"))
         insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
                                  sinks.alerts, ["transaction_id", "fraud_reason"],
-                                 partition_col="event_date", time_col="event_timestamp")
+                                 partition_col="event_date", time_col="event_timestamp",
+                                 partitions=flagged.sparkSession.sparkContext.defaultParallelism)
     finally:
         groups.unpersist()
 
@@ -263,14 +269,29 @@ def start_ledger(tx: DataFrame, sinks: SinkPaths, checkpoint: str,
 
 def start_travel(spark, sinks: SinkPaths, checkpoint: str,
                  clock: Clock = processing_time, available_now: bool = False,
-                 trigger: str = "30 seconds") -> StreamingQuery:
+                 trigger: str = "30 seconds", state_partitions: int | None = None
+                 ) -> StreamingQuery:
     """The travel rule over the raw ledger stream (the ledger must have been written
-    at least once, so the table exists)."""
+    at least once, so the table exists).
+
+    ``state_partitions`` fixes how many partitions the window state is spread over
+    (kept in the checkpoint for the life of the query); by default the session's
+    shuffle partitions.
+    """
     flagged = travel_windows_stream(raw_ledger_stream(spark, sinks))
-    return _trigger(
+    writer = _trigger(
         flagged.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
         .foreachBatch(lambda df, bid: write_flagged_windows(df, bid, sinks, clock)),
-        available_now, trigger).start()
+        available_now, trigger)
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()          # the query copies the session conf at start
+    finally:
+        spark.conf.set(key, before)
 
 
 def start_travel_stateful(tx: DataFrame, sinks: SinkPaths, checkpoint: str,
@@ -285,7 +306,8 @@ def start_travel_stateful(tx: DataFrame, sinks: SinkPaths, checkpoint: str,
 
 def start(tx: DataFrame, sinks: SinkPaths, checkpoint_root: str,
           clock: Clock = processing_time, available_now: bool = False,
-          ledger_trigger: str = "5 seconds", travel_trigger: str = "30 seconds") -> Detector:
+          ledger_trigger: str = "5 seconds", travel_trigger: str = "30 seconds",
+          state_partitions: int | None = None) -> Detector:
     """Start the speed layer; each query has its own checkpoint under ``checkpoint_root``.
 
     With ``available_now`` (backfill, tests) the ledger is drained first and the travel
@@ -302,5 +324,5 @@ def start(tx: DataFrame, sinks: SinkPaths, checkpoint_root: str,
     travel_q = None
     if table_exists(spark, sinks.raw):
         travel_q = start_travel(spark, sinks, f"{base}/travel", clock, available_now,
-                                travel_trigger)
+                                travel_trigger, state_partitions)
     return Detector(ledger=ledger_q, travel=travel_q)
