@@ -13,7 +13,9 @@ def dense_number(df: DataFrame, order_cols: list[str], bucket: Column,
     ``bucket`` must be monotone in the order (e.g. the day of a time column), so all
     rows of an earlier bucket come first.  Rows are numbered inside their bucket (one
     task per bucket, not one task for the table); each bucket's offset is the running
-    total of the earlier buckets' sizes, computed over one row per bucket.
+    total of the earlier buckets' sizes, computed over one row per bucket.  The sizes
+    are a second, narrower read of ``df``: meant for small stored tables (the report
+    history holds one row per run).
     """
     order = [F.col(c) for c in order_cols]
     tagged = df.withColumn("_bucket", bucket)

@@ -269,8 +269,8 @@ def start_ledger(tx: DataFrame, sinks: SinkPaths, checkpoint: str,
 
 def start_travel(spark, sinks: SinkPaths, checkpoint: str,
                  clock: Clock = processing_time, available_now: bool = False,
-                 trigger: str = "30 seconds", state_partitions: int | None = None
-                 ) -> StreamingQuery:
+                 trigger: str = "30 seconds", state_partitions: int | None = None,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
     """The travel rule over the raw ledger stream (the ledger must have been written
     at least once, so the table exists).
 
@@ -278,7 +278,7 @@ def start_travel(spark, sinks: SinkPaths, checkpoint: str,
     (kept in the checkpoint for the life of the query); by default the session's
     shuffle partitions.
     """
-    flagged = travel_windows_stream(raw_ledger_stream(spark, sinks))
+    flagged = travel_windows_stream(raw_ledger_stream(spark, sinks, max_files_per_trigger))
     writer = _trigger(
         flagged.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
         .foreachBatch(lambda df, bid: write_flagged_windows(df, bid, sinks, clock)),
