@@ -66,9 +66,34 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Settings for the large deployment (about 100 TB of stored transactions on ~1000
+# executors).  Static settings belong on the launcher's command line; they are listed
+# here so the sizing decisions live next to the code that depends on them.
+CLUSTER_CONF = {
+    # many reducers, merged at run time by AQE to ~256 MB each; skewed partitions split
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    # scan splits of 256 MB: a task reads a few row groups, not a whole file set
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # broadcast only what the planner or AQE has measured below 64 MB
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    # executor loss: migrate shuffle and cached blocks off a leaving executor, retry
+    # tasks elsewhere; lost shuffle output is recomputed from lineage
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.storage.decommission.rddBlocks.enabled": "true",
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "8",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "txwatch") -> SparkSession:
-    """Session for local runs and tests; on a cluster the launcher supplies master."""
+                  app_name: str = "txwatch", profile: str = "local") -> SparkSession:
+    """Session for local runs and tests; on a cluster the launcher supplies master
+    and ``profile="cluster"`` applies ``CLUSTER_CONF``."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -85,6 +110,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     )
     for key, value in RUNTIME_CONF.items():
         builder = builder.config(key, value)
+    if profile == "cluster":
+        for key, value in CLUSTER_CONF.items():
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)

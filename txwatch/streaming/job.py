@@ -27,7 +27,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--travel-trigger", default="30 seconds")
     args = ap.parse_args(argv)
 
-    spark = build_session()
+    spark = build_session(profile="cluster")
     if args.source == "kafka":
         messages = envelope.kafka_stream(spark, args.servers, args.topic)
     else:
