@@ -1,37 +1,13 @@
-"""The serving layer in SQL: stored tables and the two analytical views as temp views,
-and the ad-hoc queries analysts run against them, through ``spark.sql``."""
+"""The serving layer in SQL: stored tables and the two analytical views as temp views
+(built from the DataFrame operators), and the ad-hoc queries analysts type against
+them, run through ``spark.sql``."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from txwatch.operators.reconcile import number_reports
+from txwatch.operators import reconcile, reports
 
-FRAUD_BY_CATEGORY = """
-CREATE OR REPLACE TEMP VIEW fraud_by_category AS
-SELECT merchant_category, fraud_reason,
-       count(*)                                   AS attempt_count,
-       sum(amount)                                AS total_amount,
-       avg(amount)                                AS avg_amount,
-       max(amount)                                AS max_amount,
-       min(detected_at)                           AS first_detected,
-       max(detected_at)                           AS last_detected
-FROM fraud_alerts
-GROUP BY merchant_category, fraud_reason
-"""
-
-RECONCILIATION_SUMMARY = """
-CREATE OR REPLACE TEMP VIEW reconciliation_summary AS
-SELECT report_id, window_start, window_end,
-       total_ingress_count, total_ingress_amount,
-       fraud_count, fraud_amount, validated_count, validated_amount,
-       round(CASE WHEN total_ingress_amount > 0
-                  THEN fraud_amount / total_ingress_amount * 100 ELSE 0 END, 2) AS fraud_percentage,
-       generated_at
-FROM reconciliation_reports
-"""
-
-# ad-hoc queries (ORDER BY outside the views: a view has no order of its own)
 RECENT_ALERTS = """
 SELECT fraud_reason, merchant_category, amount, location, detected_at
 FROM fraud_alerts
@@ -47,23 +23,26 @@ UNION ALL SELECT 'validated_transactions', count(*) FROM validated_transactions
 
 def register(spark: SparkSession, raw: DataFrame, alerts: DataFrame, validated: DataFrame,
              report_history: DataFrame | None = None) -> None:
-    """Register the stored tables and create the views over them."""
+    """Register the stored tables and the views over them (views carry no order; the
+    queries below order their output)."""
     raw.createOrReplaceTempView("transactions_raw")
     alerts.createOrReplaceTempView("fraud_alerts")
     validated.createOrReplaceTempView("validated_transactions")
-    spark.sql(FRAUD_BY_CATEGORY)
+    reports.category_report(alerts, rounded=False).createOrReplaceTempView("fraud_by_category")
     if report_history is not None:
-        number_reports(report_history).createOrReplaceTempView("reconciliation_reports")
-        spark.sql(RECONCILIATION_SUMMARY)
+        rows = reconcile.number_reports(report_history)
+        rows.createOrReplaceTempView("reconciliation_reports")
+        reconcile.reconciliation_summary(rows).createOrReplaceTempView("reconciliation_summary")
 
 
 def fraud_by_category(spark: SparkSession) -> DataFrame:
-    return spark.sql("SELECT * FROM fraud_by_category ORDER BY attempt_count DESC, "
-                     "merchant_category, fraud_reason")
+    return spark.sql("SELECT * FROM fraud_by_category "
+                     "ORDER BY attempt_count DESC, merchant_category, fraud_reason")
 
 
 def reconciliation_summary(spark: SparkSession) -> DataFrame:
-    return spark.sql("SELECT * FROM reconciliation_summary ORDER BY generated_at DESC, report_id DESC")
+    return spark.sql("SELECT * FROM reconciliation_summary "
+                     "ORDER BY generated_at DESC, report_id DESC")
 
 
 def recent_alerts(spark: SparkSession) -> DataFrame:

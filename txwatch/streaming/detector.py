@@ -27,7 +27,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-
 from pyspark.sql.types import DateType, StructField, StructType
 
 from txwatch import config, schema
@@ -41,6 +40,7 @@ from txwatch.sinks.writers import (
 )
 from txwatch.streaming.travel_state import OUTPUT_SCHEMA, TravelProcessor
 
+
 def _dated(table: StructType) -> StructType:
     """A stored table's schema as written by the speed layer (+ event_date partition)."""
     return StructType(list(table.fields) + [StructField("event_date", DateType(), True)])
