@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from txwatch.plans.pipeline import run_window
+from txwatch.plans.window_run import run_window
 from txwatch.sinks import writers
 from txwatch.sources import events_feed, tables
 

@@ -127,31 +127,44 @@ def test_keyed_state_form_emits_each_row_once(spark, layer):
 
 
 def test_stream_in_many_batches_equals_batch_rule(spark, tmp_path):
-    """The feed cut into time-ordered files, one micro-batch each: the final alert set
-    equals the batch derivation (nothing is late)."""
+    """The feed cut into time-ordered files, one micro-batch each, the travel query
+    triggered after every ledger batch: the final alert set equals the batch
+    derivation (nothing is late)."""
     from conftest import SF_SMALL
     from txwatch.sources import events_feed
     from txwatch.streaming.catalog import FEED_CLOCK
 
     inbox = str(tmp_path / "events")
+    os.makedirs(inbox)
     events = events_feed.read_events(spark, SF_SMALL)
     bounds = ["2024-01-01", "2024-01-06", "2024-01-11", "2024-01-16", "2024-01-21",
               "2024-01-26", "2024-02-01"]
-    for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):        # written in time order
-        (events.where((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1)
-         .write.parquet(os.path.join(inbox, f"part={i}")))
-    stream = (spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1")
+    stream = (spark.readStream.schema(events.schema)
               .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
               .parquet(inbox))
     sinks = detector.SinkPaths(str(tmp_path / "tables"))
-    led = detector.start_ledger(events_feed.transactions_from_events(stream), sinks,
-                                str(tmp_path / "ck" / "ledger"), FEED_CLOCK, available_now=True)
-    led.awaitTermination()
-    assert len([p for p in led.recentProgress if p["numInputRows"] > 0]) == 6
-    trav = detector.start_travel(spark, sinks, str(tmp_path / "ck" / "travel"), FEED_CLOCK,
-                                 available_now=True, max_files_per_trigger=3)
-    trav.awaitTermination()
-    assert len([p for p in trav.recentProgress if p["numInputRows"] > 0]) > 1
+    ck = tmp_path / "ck"
+    led = trav = None
+    try:
+        for i, (lo, hi) in enumerate(zip(bounds, bounds[1:])):
+            (events.where((F.col("ts") >= lo) & (F.col("ts") < hi)).coalesce(1)
+             .write.parquet(os.path.join(inbox, f"part={i}")))
+            if led is None:
+                led = detector.start_ledger(events_feed.transactions_from_events(stream), sinks,
+                                            str(ck / "ledger"), FEED_CLOCK, trigger="1 second")
+            led.processAllAvailable()
+            if trav is None:
+                trav = detector.start_travel(spark, sinks, str(ck / "travel"), FEED_CLOCK,
+                                             trigger="1 second")
+            trav.processAllAvailable()
+        assert len([p for p in trav.recentProgress if p["numInputRows"] > 0]) == 6
+        dropped = sum(s["numRowsDroppedByWatermark"] for p in trav.recentProgress
+                      for s in p["stateOperators"])
+        assert dropped == 0
+    finally:
+        for q in (led, trav):
+            if q is not None:
+                q.stop()
 
     want = events_feed.stored_tables(events_feed.transactions(spark, SF_SMALL)).alerts
     got = detector.read_alerts(spark, sinks)
