@@ -40,9 +40,13 @@ def windowed(tx: DataFrame, window: str = config.TRAVEL_WINDOW) -> DataFrame:
     Rows without event time cannot be placed in a window; rows without a user cannot be
     stored as alerts, so they are not grouped (the reference groups them together).
     """
+    # window_start IS NOT NULL is implied; stating it keeps every consumer of the
+    # grouped rows on one identical plan (a join would otherwise add it to one side
+    # only and the shared aggregation could not be reused)
     return (
         tx.where(F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull())
         .withColumn("window_start", window_start("event_timestamp", window))
+        .where(F.col("window_start").isNotNull())
     )
 
 

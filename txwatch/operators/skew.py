@@ -42,6 +42,9 @@ def semi_join_split_hot(rows: DataFrame, groups: DataFrame, keys: list[str],
     takes slice 0, which every group has, so no row is lost or duplicated; a hot group
     beyond the largest ``max_hot`` is simply not split.
     """
+    # both consumers read the same projection, so the aggregation behind it is
+    # planned once and its shuffle reused
+    groups = groups.select(*keys, rows_col)
     hot = F.broadcast(hot_groups(groups, keys, rows_col, hot_rows, max_hot, max_slices))
     left = (
         rows.join(hot, keys, "left")
