@@ -105,3 +105,17 @@ def test_scan_range_pushes_down(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(event_timestamp), GreaterThanOrEqual(event_timestamp" in plan
     assert "ReadSchema: struct<transaction_id:string,event_timestamp:timestamp>" in plan
+
+
+def test_publish_batch_is_all_or_nothing(spark, tmp_path):
+    feed = str(tmp_path / "feed")
+    rows = spark.range(100).repartition(4)
+    writers.publish_batch(rows, feed, 0)
+    # what a crashed attempt leaves behind (a staging folder) is invisible to readers
+    rows.write.parquet(feed + "/_staging-1-crashed")
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    assert reader.parquet(feed).count() == 100
+    writers.publish_batch(rows.limit(10), feed, 0)        # a retried batch replaces its folder
+    assert reader.parquet(feed).count() == 10
+    writers.publish_batch(rows, feed, 1)
+    assert reader.parquet(feed).count() == 110

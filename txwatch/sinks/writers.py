@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -90,6 +92,27 @@ def insert_or_ignore_parquet(batch: DataFrame, path: str, keys: list[str],
     writer.parquet(path)
 
 
+def publish_batch(rows: DataFrame, feed_root: str, batch_id: int) -> None:
+    """Make one micro-batch's rows visible to a downstream file stream all at once.
+
+    The rows are written to a hidden staging folder (names starting with ``_`` are
+    skipped by file listings) and the folder is then renamed to ``batch_id=N``, so a
+    reader lists either none or all of the batch's files.  A retried batch replaces
+    its folder.  (Folder rename is atomic on HDFS-like file systems.)
+    """
+    spark = rows.sparkSession
+    root = feed_root.rstrip("/")
+    staging = f"{root}/_staging-{batch_id}-{uuid.uuid4().hex}"
+    rows.write.mode("overwrite").parquet(staging)
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{root}/batch_id={batch_id}")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(target):
+        fs.delete(target, True)
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
+        raise IOError(f"could not publish micro-batch {batch_id} to {target}")
+
+
 def write_warehouse(validated_window: DataFrame, root: str, window_start) -> None:
     """One batch window into the warehouse: date= and hour= of the window start.
 

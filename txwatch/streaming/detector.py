@@ -4,8 +4,9 @@
    is de-duplicated by transaction once, persisted once, and fans out to HIGH_VALUE
    alerts, validated rows and the raw ledger, each an insert-or-ignore sink, so a
    replayed batch writes nothing twice.
-2. ``travel`` reads the raw ledger table as a file stream (so every row it sees is
-   already stored), keeps per (10-minute window, user) only the lowest and highest
+2. ``travel`` reads the raw rows the ledger publishes per micro-batch (each batch
+   appears whole, and only after its rows are stored), keeps per (10-minute window,
+   user) only the lowest and highest
    country and a count in built-in streaming state (watermark 5 minutes, update
    mode), and for the windows flagged in a micro-batch semi-joins the stored raw rows
    (pruned to the batch's dates and time range) into IMPOSSIBLE_TRAVEL alerts.  A
@@ -36,7 +37,7 @@ from txwatch.operators import ledger, rules
 from txwatch.operators.skew import semi_join_split_hot
 from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
 from txwatch.sinks.writers import (
-    batch_bounds, insert_or_ignore_parquet, read_table, table_exists,
+    batch_bounds, insert_or_ignore_parquet, publish_batch, read_table, table_exists,
 )
 from txwatch.streaming.travel_state import OUTPUT_SCHEMA, TravelProcessor
 
@@ -79,12 +80,15 @@ class SinkPaths:
     alerts: str = field(init=False)
     validated: str = field(init=False)
     raw: str = field(init=False)
+    feed: str = field(init=False)
 
     def __post_init__(self):
         base = self.root.rstrip("/")
         self.alerts = f"{base}/fraud_alerts"
         self.validated = f"{base}/validated_transactions"
         self.raw = f"{base}/transactions_raw"
+        # raw rows per micro-batch, each batch published atomically (travel input)
+        self.feed = f"{base}/_feeds/raw_batches"
 
 
 def _with_event_date(df: DataFrame) -> DataFrame:
@@ -124,8 +128,11 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         insert_or_ignore_parquet(valid.withColumn("batch_processed_at", clock("batch_processed_at")),
                                  sinks.validated, ["transaction_id"], **sink)
         raw, _ = ledger.conform(rows, LEDGER_COLUMNS + keep)
-        insert_or_ignore_parquet(raw.withColumn("ingested_at", clock("ingested_at")),
-                                 sinks.raw, ["transaction_id"], **sink)
+        raw = raw.withColumn("ingested_at", clock("ingested_at"))
+        insert_or_ignore_parquet(raw, sinks.raw, ["transaction_id"], **sink)
+        # the batch's storable rows, published whole for the travel query once they are
+        # stored (replayed ones included: they only repeat countries already counted)
+        publish_batch(raw, sinks.feed, batch_id)
     finally:
         rows.unpersist()
 
@@ -228,11 +235,13 @@ def travel_windows_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
 
 def raw_ledger_stream(spark, sinks: SinkPaths, max_files_per_trigger: int | None = None
                       ) -> DataFrame:
-    """The raw ledger table as a stream of newly stored rows (file source)."""
-    reader = spark.readStream.schema(RAW_STREAM_SCHEMA)
+    """Newly stored raw rows as a stream: the ledger's per-batch feed, where each
+    micro-batch appears whole (see ``sinks.writers.publish_batch``)."""
+    reader = (spark.readStream.schema(RAW_STREAM_SCHEMA)
+              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return (reader.parquet(sinks.raw)
+    return (reader.parquet(sinks.feed)
             .withColumn("country", country_of("location")))
 
 
@@ -319,10 +328,10 @@ def start(tx: DataFrame, sinks: SinkPaths, checkpoint_root: str,
     ledger_q = start_ledger(tx, sinks, f"{base}/ledger", clock, available_now, ledger_trigger)
     if available_now:
         ledger_q.awaitTermination()
-    elif not table_exists(spark, sinks.raw):
+    elif not table_exists(spark, sinks.feed):
         ledger_q.processAllAvailable()
     travel_q = None
-    if table_exists(spark, sinks.raw):
+    if table_exists(spark, sinks.feed):
         travel_q = start_travel(spark, sinks, f"{base}/travel", clock, available_now,
                                 travel_trigger, state_partitions)
     return Detector(ledger=ledger_q, travel=travel_q)
