@@ -48,6 +48,10 @@ def test_run_window_chain_and_rerun(spark, stored, tmp_path):
     assert tables.read_warehouse(spark, run2.warehouse, dates=["2024-01-14"]).count() == n
     assert spark.read.parquet(run2.reports_table).count() == 2
     assert run2.reconciliation.first()["report_id"] == 2
+    from txwatch.operators import reconcile
+    history = reconcile.number_reports(spark.read.parquet(run2.reports_table))
+    latest = reconcile.latest_per_window(history).collect()
+    assert len(latest) == 1 and latest[0]["report_id"] == 2
 
 
 def test_empty_window_writes_header_only_and_keeps_warehouse(spark, stored, tmp_path):

@@ -118,6 +118,15 @@ def number_reports(rows: DataFrame) -> DataFrame:
         .select("report_id", *RECONCILED_COLUMNS, "generated_at")
 
 
+def latest_per_window(rows: DataFrame) -> DataFrame:
+    """The newest report of each window from a history where re-runs add rows
+    (one partial aggregation per window; no window function over the table)."""
+    latest = F.max_by(F.struct(*[c for c in rows.columns if c != "window_start"]),
+                      F.col("generated_at"))
+    return (rows.groupBy("window_start").agg(latest.alias("_r"))
+            .select("window_start", "_r.*").select(*rows.columns))
+
+
 def reconciliation_report(rows: DataFrame) -> DataFrame:
     """The 11-column report file: display headers, cents, shares of ingress amount."""
     h = config.RECONCILIATION_HEADERS
@@ -148,4 +157,5 @@ def reconciliation_summary(rows: DataFrame) -> DataFrame:
 
 
 __all__ = ["window_bounds", "reconcile_window", "reconcile_all_windows", "report_rows",
-           "number_reports", "reconciliation_report", "reconciliation_summary", "money"]
+           "number_reports", "latest_per_window", "reconciliation_report",
+           "reconciliation_summary", "money"]
