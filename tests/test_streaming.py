@@ -171,3 +171,16 @@ def test_stream_in_many_batches_equals_batch_rule(spark, tmp_path):
     key = ["transaction_id", "fraud_reason", "detected_at"]
     assert got.count() == want.count()
     assert got.select(*key).exceptAll(want.select(*key)).count() == 0
+
+
+def test_upstream_dedup_within_watermark(spark, layer):
+    inbox, sinks, ckpt = layer
+    write_batch(spark, inbox, 0, SCRIPT[0] + SCRIPT[1])
+    write_batch(spark, inbox, 1, SCRIPT[0])                # replayed messages
+    q = detector.start_ledger(_source(spark, inbox), sinks, ckpt + "/ledger",
+                              detector.event_time_clock({}), available_now=True,
+                              dedup_within="1 hour")
+    q.awaitTermination()
+    ops = {s["operatorName"] for p in q.recentProgress for s in p["stateOperators"]}
+    assert "dedupeWithinWatermark" in ops
+    assert detector.read_raw(spark, sinks).count() == 3

@@ -269,7 +269,15 @@ def _trigger(writer, available_now: bool, every: str):
 
 def start_ledger(tx: DataFrame, sinks: SinkPaths, checkpoint: str,
                  clock: Clock = processing_time, available_now: bool = False,
-                 trigger: str = "5 seconds") -> StreamingQuery:
+                 trigger: str = "5 seconds", dedup_within: str | None = None
+                 ) -> StreamingQuery:
+    """The stateless query.  ``dedup_within`` (e.g. "1 hour") also drops replayed
+    messages upstream with ``dropDuplicatesWithinWatermark``; off by default, because
+    its watermark would also drop late rows that the row rules accept.  The sinks'
+    insert-or-ignore makes replays harmless either way."""
+    if dedup_within:
+        tx = (tx.withWatermark("event_timestamp", dedup_within)
+              .dropDuplicatesWithinWatermark(["transaction_id"]))
     return _trigger(
         tx.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
         .foreachBatch(lambda df, bid: write_ledger_batch(df, bid, sinks, clock)),
