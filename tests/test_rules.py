@@ -160,3 +160,51 @@ def test_salted_travel_equals_plain_semi_join_on_feed(spark):
     plain = rules.impossible_travel_semi(tx).select("transaction_id")
     assert salted.count() == plain.count() == 20
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
+
+
+def test_hot_group_split_through_shuffle_join(spark):
+    """One (user, window) holding a third of all rows, broadcasts off so the salted
+    sort-merge path runs: every row comes back exactly once, and the hot group's rows
+    are spread over its slices."""
+    from pyspark.sql import functions as G
+    n_hot, n_cold = 30_000, 60_000
+    hot = (spark.range(n_hot).select(
+        G.concat(G.lit("h"), G.col("id").cast("string")).alias("transaction_id"),
+        G.lit("hot_user").alias("user_id"),
+        (G.lit("2024-01-01 00:00:00").cast("timestamp")
+         + G.make_dt_interval(G.lit(0), G.lit(0), G.lit(0), (G.col("id") % 500).cast("decimal(10,6)")))
+        .alias("event_timestamp"),
+        G.when(G.col("id") % 2 == 0, "US").otherwise("GB").alias("country")))
+    cold = (spark.range(n_cold).select(
+        G.concat(G.lit("c"), G.col("id").cast("string")).alias("transaction_id"),
+        G.concat(G.lit("u"), (G.col("id") % 5000).cast("string")).alias("user_id"),
+        (G.lit("2024-01-01 00:00:00").cast("timestamp")
+         + G.make_dt_interval(G.lit(0), G.lit(0), (G.col("id") % 600).cast("int"), G.lit(0)))
+        .alias("event_timestamp"),
+        G.when(G.col("id") % 7 == 0, "JP").otherwise("LK").alias("country")))
+    tx = hot.unionByName(cold).withColumn("location", G.concat(G.lit("X, "), G.col("country"))) \
+        .withColumn("amount", G.lit(1.0)).withColumn("merchant_category", G.lit("Dining"))
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        salted = rules.impossible_travel(tx, hot_rows=2_000, max_slices=64)
+        plain = rules.impossible_travel_semi(tx)
+        assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
+        got = salted.select("transaction_id")
+        want = plain.select("transaction_id")
+        n = want.count()
+        assert n >= n_hot and got.count() == n
+        assert got.exceptAll(want).count() == 0
+        # the hot group's rows take 15 slices (30,000 / 2,000), evenly by hash
+        per_slice = (tx.where("user_id = 'hot_user'")
+                     .select(G.pmod(G.xxhash64("transaction_id"), G.lit(15)).alias("s"))
+                     .groupBy("s").count().collect())
+        assert len(per_slice) == 15 and max(r["count"] for r in per_slice) < 3 * n_hot / 15
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
