@@ -75,12 +75,19 @@ def reconcile_all_windows(raw: DataFrame, alerts: DataFrame, validated: DataFram
     parts = []
     for name, table in _totals(raw, alerts, validated).items():
         time_col, n_alias, amount_alias, distinct = TIME_AXES[name]
-        n = F.countDistinct(distinct) if distinct else F.count(F.lit(1))
-        parts.append(
-            table.where(F.col(time_col).isNotNull())
-            .groupBy(window_start(time_col, duration).alias("window_start"))
-            .agg(n.cast("long").alias(n_alias), money_sum("amount").alias(amount_alias))
-        )
+        rows = table.where(F.col(time_col).isNotNull()) \
+            .withColumn("window_start", window_start(time_col, duration))
+        if distinct:
+            # per (window, key) then per window: distinct count and plain sum from two
+            # hash aggregations (no row-duplicating distinct rewrite)
+            rows = rows.groupBy("window_start", distinct).agg(
+                F.sum(money("amount")).alias("amount"))
+            n = F.count(distinct)
+        else:
+            n = F.count(F.lit(1))
+        parts.append(rows.groupBy("window_start").agg(
+            n.cast("long").alias(n_alias),
+            F.coalesce(F.sum(money("amount")), F.lit(0)).alias(amount_alias)))
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p, allowMissingColumns=True)
