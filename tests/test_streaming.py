@@ -184,3 +184,14 @@ def test_upstream_dedup_within_watermark(spark, layer):
     ops = {s["operatorName"] for p in q.recentProgress for s in p["stateOperators"]}
     assert "dedupeWithinWatermark" in ops
     assert detector.read_raw(spark, sinks).count() == 3
+
+
+def test_job_entry_point_backfill(spark, layer):
+    """The command-line entry drains a folder of envelope files and exits."""
+    from txwatch.streaming import job
+    inbox, sinks, ckpt = layer
+    write_batch(spark, inbox, 0, SCRIPT[0] + SCRIPT[1])
+    job.main(["--source", "files", "--path", inbox + "/batch=000", "--tables", sinks.root,
+              "--checkpoints", ckpt, "--available-now", "--profile", "local"])
+    assert detector.read_raw(spark, sinks).count() == 3
+    assert alert_ids(spark, sinks) == ["a", "b", "c"]

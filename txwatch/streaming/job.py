@@ -25,17 +25,24 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--checkpoints", required=True, help="root folder of query checkpoints")
     ap.add_argument("--ledger-trigger", default="5 seconds")
     ap.add_argument("--travel-trigger", default="30 seconds")
+    ap.add_argument("--available-now", action="store_true",
+                    help="backfill: drain what is there (ledger first, then travel) and exit")
+    ap.add_argument("--profile", choices=["cluster", "local"], default="cluster")
     args = ap.parse_args(argv)
 
-    spark = build_session(profile="cluster")
+    spark = build_session(profile=args.profile)
     if args.source == "kafka":
         messages = envelope.kafka_stream(spark, args.servers, args.topic)
     else:
         messages = envelope.file_stream(spark, args.path)
     tx = envelope.parse_envelope(messages)
-    detector.start(tx, detector.SinkPaths(args.tables), args.checkpoints,
-                   ledger_trigger=args.ledger_trigger, travel_trigger=args.travel_trigger)
-    spark.streams.awaitAnyTermination()
+    job = detector.start(tx, detector.SinkPaths(args.tables), args.checkpoints,
+                         available_now=args.available_now,
+                         ledger_trigger=args.ledger_trigger, travel_trigger=args.travel_trigger)
+    if args.available_now:
+        job.wait()
+    else:
+        spark.streams.awaitAnyTermination()
 
 
 if __name__ == "__main__":
