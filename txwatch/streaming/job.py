@@ -38,7 +38,9 @@ def main(argv: list[str] | None = None) -> None:
     tx = envelope.parse_envelope(messages)
     job = detector.start(tx, detector.SinkPaths(args.tables), args.checkpoints,
                          available_now=args.available_now,
-                         ledger_trigger=args.ledger_trigger, travel_trigger=args.travel_trigger)
+                         ledger_trigger=args.ledger_trigger, travel_trigger=args.travel_trigger,
+                         # window state: one partition per core of the application
+                         state_partitions=spark.sparkContext.defaultParallelism)
     if args.available_now:
         job.wait()
     else:
