@@ -5,16 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, quality_rules, secret_scans, simhash_dedup
+from . import decontaminate, packing, quality_rules, secret_scans, simhash_dedup, token_files
 from .common import table
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, here and on every executor."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = token_files.written(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+    return df.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = decontaminate.judged(table(spark, sf_dir, "documents").select("doc_id", "text"),
                               table(spark, sf_dir, "benchmark"))
     return df.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = simhash_dedup.grouped(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return df.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -30,7 +46,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_files": op3_token_files,
     "op4_decontaminate": op4_decontaminate,
+    "op7_packing": op7_packing,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,

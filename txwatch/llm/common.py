@@ -60,3 +60,8 @@ def words_of(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text; null or blank: an empty array."""
     return F.when(text.isNotNull(), F.array_remove(F.split(text, SPACE_RUN), "")).otherwise(
         F.array().cast("array<string>"))
+
+
+def whole_row(docs: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """All columns of a row as one struct, so that helper columns can't clash with them."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without])

@@ -271,9 +271,17 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
 def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """``docs`` without contaminated documents (coverage limit); of the others the hit
     spans are cut (length limit) and ``n_chars``, if there, is counted anew."""
-    df = judged(docs, benchmark, window).where(~F.col("contaminated"))
-    cut = F.col("n_hit") > 0
-    if "n_chars" in docs.columns:
-        df = df.withColumn("n_chars", F.when(cut, F.length("clean_text")).otherwise(F.col("n_chars"))
-                           .cast(docs.schema["n_chars"].dataType))
-    return df.withColumn("text", F.col("clean_text")).select(docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+    plain = docs.select("text", *[F.col(f"`{c}`").alias(f"d_{i}") for i, c in enumerate(others)])
+    df = judged(plain, benchmark, window).where(~F.col("contaminated"))
+    columns = []
+    for c in docs.columns:
+        if c == "text":
+            columns.append(F.col("clean_text").alias(c))
+        elif c == "n_chars":
+            own = F.col(f"d_{others.index(c)}")
+            columns.append(F.when(F.col("n_hit") > 0, F.length("clean_text").cast(docs.schema[c].dataType))
+                           .otherwise(own).alias(c))
+        else:
+            columns.append(F.col(f"d_{others.index(c)}").alias(c))
+    return df.select(columns)

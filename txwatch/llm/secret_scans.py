@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, whole_row
 
 
 @dataclass(frozen=True)
@@ -167,11 +167,12 @@ def _spans(rule: Rule, at: int, text: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``docs`` plus ``s_text`` and ``s_spans`` (sorted by start, then rule order)."""
+    """Rows (s_whole: the row of ``docs``, doc_id, text, s_text, s_spans); spans sorted by
+    start, then rule order."""
     _, full = index_rules(rules)
     found = staged(candidates(staged(postings(docs, rules), "postings"), rules), "candidates")
     found = found.withColumnRenamed("doc_id", "s_doc").withColumnRenamed("s_key", "s_row")
-    df = _row_key(docs).join(
+    df = _row_key(docs.select(whole_row(docs).alias("s_whole"), "doc_id", "text")).join(
         found, F.col("doc_id").eqNullSafe(F.col("s_doc")) & (F.col("s_key") == F.col("s_row")), "left")
     none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
     parts = []
@@ -212,9 +213,9 @@ def masked(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secre
                 acc["out"], F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mask)))
             .otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text))))
-    df = with_spans(docs, rules).withColumn(
-        "text", F.when(F.size("s_spans") > 0, walked).otherwise(F.col("text")))
+    hit = F.size("s_spans") > 0
+    row = F.col("s_whole").withField("text", F.when(hit, walked).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        df = df.withColumn("n_chars", F.when(
-            F.size("s_spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return df.select(*docs.columns)
+        kind = docs.schema["n_chars"].dataType
+        row = row.withField("n_chars", F.when(hit, F.length(walked).cast(kind)).otherwise(F.col("s_whole.n_chars")))
+    return with_spans(docs, rules).select(row.alias("s_whole")).select("s_whole.*")

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, staged
+from .common import LOWER, UPPER, staged, whole_row
 
 SHINGLE_WORDS = 4
 RADIUS = 4
@@ -248,7 +248,10 @@ def deduplicated(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIU
     doc_id, and of repeated rows with that id one (the least by all columns' hash)."""
     stay = grouped(docs, size, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     stay = stay.groupBy("doc_id").agg(F.count(F.lit(1)).alias("s_rows")).withColumnRenamed("doc_id", "s_doc")
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(F.col("s_doc")))
-    once = kept.where("s_rows = 1").select(docs.columns)
-    more = kept.where("s_rows > 1").select(docs.columns).dropDuplicates(["doc_id"])
-    return once.unionByName(more)
+    rows = docs.select(whole_row(docs).alias("s_whole"), F.col("doc_id").alias("s_id"))
+    kept = rows.join(stay, F.col("s_id").eqNullSafe(F.col("s_doc")))
+    once = kept.where("s_rows = 1").select("s_whole")
+    # repeated rows of one id: the least by its text's and source columns' hash
+    more = kept.where("s_rows > 1").groupBy("s_doc").agg(
+        F.min_by("s_whole", F.xxhash64("s_whole")).alias("s_whole")).select("s_whole")
+    return once.unionByName(more).select("s_whole.*")
