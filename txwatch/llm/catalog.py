@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality_rules, secret_scans, simhash_dedup, token_files
+from . import (decontaminate, language_id, lm_scoring, packing, quality_rules, secret_scans,
+               simhash_dedup, substring_dedup, token_files)
 from .common import table
 
 
@@ -16,6 +17,18 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = substring_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return df.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", language_id.held_out(F.col("doc_id")).alias("held_out"))
+    model = language_id.fit(docs.where(~F.col("held_out")))
+    return language_id.predicted(docs.select("doc_id", "held_out", "text"), model)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = token_files.written(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
     return df.select("doc_id", "start", "n_tokens", "ids_crc32")
@@ -27,6 +40,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -46,8 +63,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_language_id": op2_language_id,
     "op3_token_files": op3_token_files,
     "op4_decontaminate": op4_decontaminate,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_packing": op7_packing,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_secret_scans": op9_secret_scans,
