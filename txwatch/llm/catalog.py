@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language_id, lm_scoring, packing, quality_rules, secret_scans,
+from . import (decontaminate, language_id, license_scans, lm_scoring, packing, quality_rules, secret_scans,
                simhash_dedup, substring_dedup, token_files)
 from .common import table
 
@@ -40,6 +40,15 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: source / doc_id div 10000 / doc_id div 100 / doc_id."""
+    own = F.col("doc_id")
+    path = F.concat_ws("/", "source", F.floor(own / 10000).cast("string"), F.floor(own / 100).cast("string"),
+                       own.cast("string"))
+    files = table(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text")
+    return license_scans.scanned(files)
+
+
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.scored(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
@@ -67,6 +76,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_token_files": op3_token_files,
     "op4_decontaminate": op4_decontaminate,
+    "op5_license_scans": op5_license_scans,
     "op6_lm_scoring": op6_lm_scoring,
     "op7_packing": op7_packing,
     "op8_simhash_dedup": op8_simhash_dedup,
