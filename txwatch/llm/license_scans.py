@@ -129,7 +129,8 @@ def document_frequencies(files: DataFrame, templates=TEMPLATES) -> tuple[int, di
                 seen[""] += 1
                 if isinstance(text, str):
                     seen.update(vocabulary.intersection(WORD.findall(text.lower())))
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
+        if seen:
+            yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     rows = files.select("text").mapInPandas(run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")).collect()
     found = {r["word"]: r["n"] for r in rows}   # a row per template word

@@ -200,7 +200,7 @@ def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, take: int
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Rows (node, label): each node of ``edges`` (a, b) with its component's least node.
+    """Rows (node, label): each node of ``edges`` (a, b) but the least of its component, with that one.
 
     Large-star and small-star steps in turn; each round's edges are a staged table.  The
     rounds end when a round changes nothing (count and hash of the edges).
