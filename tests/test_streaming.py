@@ -195,3 +195,90 @@ def test_job_entry_point_backfill(spark, layer):
               "--checkpoints", ckpt, "--available-now", "--profile", "local"])
     assert detector.read_raw(spark, sinks).count() == 3
     assert alert_ids(spark, sinks) == ["a", "b", "c"]
+
+
+def _wait_for(check, seconds=90):
+    import time
+    end = time.time() + seconds
+    while time.time() < end:
+        if check():
+            return True
+        time.sleep(0.5)
+    return False
+
+
+def test_both_queries_start_on_an_empty_source(spark, layer):
+    """Continuous mode: both queries run before anything arrives, rows come in several
+    files while both are running, each writer appends to a root of its own."""
+    inbox, sinks, ckpt = layer
+    clock = detector.event_time_clock({"detected_at": 1})
+    job = detector.start(_source(spark, inbox), sinks, ckpt, clock,
+                         ledger_trigger="1 second", travel_trigger="1 second")
+    try:
+        assert job.travel is not None and all(q.isActive for q in job.queries())
+        for n, rows in enumerate(SCRIPT[:3]):
+            write_batch(spark, inbox, n, rows)
+        write_batch(spark, inbox, 3, [("h", "17", "GB")])
+        assert _wait_for(lambda: alert_ids(spark, sinks) == ["a", "b", "c", "d", "h"])
+        assert all(q.isActive for q in job.queries())
+        seen = [b["metrics"]["rows"] for b in job.metrics.batches if b["metrics"]]
+        assert _wait_for(lambda: sum(b["metrics"]["rows"] for b in job.metrics.batches if b["metrics"]) == 5), seen
+    finally:
+        job.stop()
+
+
+LONG = "x" * 130
+
+
+@pytest.mark.parametrize("order", [0, 1])
+def test_rejects_go_to_their_table(spark, tmp_path, order):
+    from datetime import datetime
+    t = datetime(2024, 1, 1)
+    columns = "transaction_id string, user_id string, merchant_category string, amount double, " \
+              "location string, currency string, event_timestamp timestamp"
+    rows = [("good", "u", "m", 6000.0, "City, US", "USD", t), ("good", "u", "m", 6000.0, None, "USD", t),
+            ("huge", "u", "m", 99999999999.99, "City, US", "USD", t), (None, "u", "m", 1.0, "City, US", "USD", t),
+            ("long", "u", "m", 1.0, LONG, "USD", t), ("nan", "u", "m", float("nan"), "City, US", "USD", t),
+            ("good", "u", "m", 6000.0, "City, US", "USD", t)]
+    df = spark.createDataFrame(rows[::-1] if order else rows, columns)
+    sinks = detector.SinkPaths(str(tmp_path / "tables"))
+    for _ in range(2):                                   # a retried batch changes nothing
+        detector.write_ledger_batch(df, 0, sinks)
+        assert [r["transaction_id"] for r in detector.read_raw(spark, sinks).collect()] == ["good"]
+        got = {(r["transaction_id"], r["reject_reason"]) for r in detector.read_rejected(spark, sinks).collect()}
+        assert got == {("good", "location is null"), ("huge", "amount out of range"),
+                       (None, "transaction_id is null"), ("long", "location longer than 128"),
+                       ("nan", "amount out of range")}
+        assert alert_ids(spark, sinks, "HIGH_VALUE") == ["good"]
+    # the id alone is the key: another event time is a reject, in a later batch or the same
+    later = [("good", "u", "m", 6000.0, "City, US", "USD", datetime(2024, 1, 2)),
+             ("new", "u", "m", 1.0, "City, US", "USD", datetime(2024, 1, 3)),
+             ("new", "u", "m", 1.0, "City, US", "USD", datetime(2024, 1, 2))]
+    detector.write_ledger_batch(spark.createDataFrame(later, columns), 1, sinks)
+    stored = {(r["transaction_id"], r["event_timestamp"].day) for r in detector.read_raw(spark, sinks).collect()}
+    assert stored == {("good", 1), ("new", 2)}
+    again = {(r["transaction_id"], r["event_timestamp"].day) for r in detector.read_rejected(spark, sinks)
+             .where(F.col("reject_reason") == detector.SECOND_TIME).collect()}
+    assert again == {("good", 2), ("new", 3)}
+
+
+def test_only_touched_folders_are_read(spark, tmp_path):
+    from txwatch.sinks import writers
+    path = str(tmp_path / "t")
+    days = spark.range(5).select("id", F.concat(F.lit("2024-01-0"), (F.col("id") + 1).cast("string")).alias("d"))
+    days.write.partitionBy("d").parquet(path)
+    part = writers.read_folders(spark, path, "d", ["2024-01-02", "2030-01-01"])
+    assert len(part.inputFiles()) == 1 and "d=2024-01-02" in part.inputFiles()[0] and part.first()["id"] == 1
+
+
+def test_window_totals_beyond_a_trillion(spark):
+    from datetime import datetime
+    from decimal import Decimal
+    from txwatch.operators import reconcile
+    from txwatch.sources import events_feed
+    rows = [(f"t{i}", "u", datetime(2024, 1, 1, 1), "m", 9_999_999_999.99, "City, US", "USD", "US") for i in range(200)]
+    tx = spark.createDataFrame(rows, "transaction_id string, user_id string, event_timestamp timestamp, "
+                                     "merchant_category string, amount double, location string, currency string, country string")
+    t = events_feed.stored_tables(tx)
+    got = reconcile.reconcile_window(t.raw, t.alerts, t.validated, "2024-01-01 06:00:00").first()
+    assert got["total_ingress_amount"] == Decimal("1999999999998.00")

@@ -28,7 +28,7 @@ VARCHAR_LIMITS = {
     "fraud_reason": 32,
 }
 MONEY_TYPE = "decimal(12,2)"           # NUMERIC(12,2) of the stored tables
-TOTAL_TYPE = "decimal(14,2)"           # NUMERIC(14,2) of the reconciliation table
+TOTAL_TYPE = "decimal(38,2)"           # sums of NUMERIC(12,2) never overflow it
 
 # --- fixed values: reconciliation report headers, in file order ---------------
 RECONCILIATION_HEADERS = [
@@ -48,7 +48,5 @@ RECONCILIATION_HEADERS = [
 # --- tuning knobs (ours, not the reference's) --------------------------------
 # A (user, window) group with more rows than this is split over several join tasks.
 HOT_GROUP_ROWS = 1_000_000
-# At most this many hot groups are looked up from a broadcast table (proven bound).
-MAX_HOT_GROUPS = 10_000
-# Upper bound on the slices one hot group is split into.
-MAX_SLICES = 512
+# Key-index folders of the speed layer (kept for the life of the tables).
+KEY_BUCKETS = 64

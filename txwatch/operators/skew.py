@@ -9,25 +9,16 @@ from txwatch import config
 
 
 def hot_groups(groups: DataFrame, keys: list[str], rows_col: str,
-               hot_rows: int = config.HOT_GROUP_ROWS,
-               max_hot: int = config.MAX_HOT_GROUPS,
-               max_slices: int = config.MAX_SLICES) -> DataFrame:
-    """The largest groups (at most ``max_hot`` rows, so safe to broadcast) with the
-    number of slices each one is split into: ceil(rows / hot_rows), capped."""
-    slices = F.least(F.ceil(F.col(rows_col) / F.lit(hot_rows)), F.lit(max_slices)).cast("int")
-    return (
-        groups.where(F.col(rows_col) > hot_rows)
-        .orderBy(F.desc(rows_col), *keys)
-        .limit(max_hot)
-        .select(*keys, slices.alias("_slices"))
-    )
+               hot_rows: int = config.HOT_GROUP_ROWS) -> DataFrame:
+    """The groups above ``hot_rows`` rows, with the number of slices each is split into:
+    ceil(rows / hot_rows).  There are at most total rows / hot_rows of them."""
+    slices = F.ceil(F.col(rows_col) / F.lit(hot_rows)).cast("int")
+    return groups.where(F.col(rows_col) > hot_rows).select(*keys, slices.alias("_slices"))
 
 
 def semi_join_split_hot(rows: DataFrame, groups: DataFrame, keys: list[str],
                         rows_col: str, salt_col: str,
-                        hot_rows: int = config.HOT_GROUP_ROWS,
-                        max_hot: int = config.MAX_HOT_GROUPS,
-                        max_slices: int = config.MAX_SLICES) -> DataFrame:
+                        hot_rows: int = config.HOT_GROUP_ROWS) -> DataFrame:
     """``rows LEFT SEMI JOIN groups USING (keys)`` with hot keys salted.
 
     ``groups`` has one row per key and, in ``rows_col``, how many rows of ``rows``
@@ -37,22 +28,21 @@ def semi_join_split_hot(rows: DataFrame, groups: DataFrame, keys: list[str],
     groups side, and each of its rows goes to slice hash(salt_col) mod slices, so the
     join on (keys, slice) spreads the group over that many tasks.
 
-    The rows side learns the slice count of its group from the largest groups only
-    (at most ``max_hot`` rows: a bounded table, broadcast).  A row of any other group
-    takes slice 0, which every group has, so no row is lost or duplicated; a hot group
-    beyond the largest ``max_hot`` is simply not split.
+    The rows side learns the slice count of its group from the hot groups only, a table
+    of at most total rows / ``hot_rows`` rows; Spark picks that join by its measured
+    size.  A row of any other group takes slice 0, which every group has, so no row is
+    lost or duplicated.
     """
     # both consumers read the same projection, so the aggregation behind it is
     # planned once and its shuffle reused
     groups = groups.select(*keys, rows_col)
-    hot = F.broadcast(hot_groups(groups, keys, rows_col, hot_rows, max_hot, max_slices))
+    hot = hot_groups(groups, keys, rows_col, hot_rows)
     left = (
         rows.join(hot, keys, "left")
         .withColumn("_slice", F.pmod(F.xxhash64(F.col(salt_col)),
                                      F.coalesce(F.col("_slices"), F.lit(1))).cast("int"))
         .drop("_slices")
     )
-    own_slices = F.greatest(F.lit(1), F.least(F.ceil(F.col(rows_col) / F.lit(hot_rows)),
-                                              F.lit(max_slices))).cast("int")
+    own_slices = F.greatest(F.lit(1), F.ceil(F.col(rows_col) / F.lit(hot_rows))).cast("int")
     right = groups.select(*keys, F.explode(F.sequence(F.lit(0), own_slices - 1)).alias("_slice"))
     return left.join(right, keys + ["_slice"], "left_semi").drop("_slice")

@@ -18,7 +18,7 @@ from txwatch.functions.columns import to_ts, window_start
 from txwatch.operators import alerts as alert_ops
 from txwatch.operators import ledger, reconcile, reports, rules
 from txwatch.operators.reports import amounts_as_double
-from txwatch.session import configure
+from txwatch.session import configure, shared_dir
 from txwatch.sources import envelope, events_feed
 
 # The batch window used by the single-window keys (the DAG's logical date).
@@ -75,7 +75,10 @@ def parse_transactions(spark, sf_dir):
 
 
 def encode_messages(spark, sf_dir):
-    return envelope.encode_messages(_tx(spark, sf_dir))
+    """Messages as text; the producer's label columns are in the input and must not leave."""
+    tx = _tx(spark, sf_dir).withColumn("is_fraud_injected", F.lit(True)).withColumn("fraud_type", F.lit("x"))
+    return envelope.encode_messages(tx).select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "timestamp")
 
 
 def derive_country(spark, sf_dir):
@@ -259,8 +262,11 @@ def reconcile_all_windows(spark, sf_dir):
 
 
 def _report_rows(spark, sf_dir):
-    # a run for window [s, e) is stamped at e (injected clock: results are stable)
-    return reconcile.report_rows(_all_windows(spark, sf_dir), F.col("window_end"))
+    # a run for window [s, e) is stamped at e (injected clock: results are stable); the
+    # rows are written once and numbered as stored, so the tables are scanned once
+    path = shared_dir(spark, "reports")
+    _all_windows(spark, sf_dir).withColumn("generated_at", F.col("window_end")).write.parquet(path)
+    return reconcile.number_reports(spark.read.parquet(path))
 
 
 def reconciliation_report_rows(spark, sf_dir):

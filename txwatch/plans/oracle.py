@@ -21,7 +21,7 @@ tx AS (
     'user_' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS user_id,
     event_type AS merchant_category,
     CAST(CAST(CAST(value AS DECIMAL(12,2)) * 50 AS DECIMAL(12,2)) AS DOUBLE) AS amount,
-    'City-' || CAST(k AS VARCHAR) || ', ' || ['LK','US','GB','SG','AU','AE','IN','JP'][(k % 8) + 1] AS location,
+    'City-' || CAST(k AS VARCHAR) || ', ' || 'C' || CAST(k % 8 AS VARCHAR) AS location,
     'USD' AS currency,
     CAST(ts AS TIMESTAMP) AS kafka_timestamp,
     CAST(ts AS TIMESTAMP) AS event_timestamp
@@ -141,11 +141,9 @@ def _with(*extra: str) -> str:
 STORED_BEFORE = "2024-01-15 00:00:00"
 REPLAY = """
 replayed AS (
-  SELECT * FROM txc WHERE event_timestamp >= TIMESTAMP '2024-01-10 00:00:00'
-                      AND event_timestamp <  TIMESTAMP '2024-01-25 00:00:00'
+  SELECT * FROM txc
   UNION ALL
   SELECT * FROM txc WHERE event_timestamp >= TIMESTAMP '2024-01-20 00:00:00'
-                      AND event_timestamp <  TIMESTAMP '2100-01-01 00:00:00'
 )"""
 
 DIRTY = """
@@ -222,6 +220,18 @@ SELECT fraud_reason, merchant_category, CAST(amount AS DOUBLE) AS amount, locati
 FROM alerts ORDER BY detected_at DESC, transaction_id ASC, fraud_reason ASC LIMIT {RECENT_K}"""
     q["raw_ledger"] = _with(REPLAY) + f"""
 SELECT DISTINCT {LEDGER} FROM replayed WHERE amount IS NOT NULL"""
+    q["encode_messages"] = _with() + """
+SELECT user_id AS key,
+       '{"transaction_id":"' || transaction_id || '","user_id":"' || user_id
+       || '","timestamp":"' || strftime(event_timestamp, '%Y-%m-%dT%H:%M:%S.%g') || 'Z'
+       || '","merchant_category":"' || merchant_category
+       || '","amount":' || coalesce(CAST(amount AS VARCHAR), 'null')
+       || ',"location":"' || location || '","currency":"' || currency || '"}' AS value,
+       event_timestamp AS timestamp
+FROM txc"""
+    q["stream_rejected"] = _with(DIRTY) + f"""
+SELECT transaction_id, user_id, event_timestamp, merchant_category, amount, location, currency, reject_reason
+FROM checked WHERE reject_reason <> ''"""
     q["insert_or_ignore"] = _with(REPLAY) + f"""
 SELECT DISTINCT {LEDGER} FROM replayed
 WHERE amount <= 5000

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from txwatch import schema
 from txwatch.functions.columns import to_ts
 from txwatch.operators import reconcile, reports
-from txwatch.sinks.writers import read_table, write_csv_report, write_warehouse
+from txwatch.sinks.writers import read_table, table_exists, write_csv_report, write_warehouse
 
 
 @dataclass
@@ -50,12 +50,17 @@ def run_window(spark: SparkSession, raw: DataFrame, alerts: DataFrame, validated
     warehouse = f"{root}/warehouse"
     write_warehouse(extract, warehouse, start)
 
-    # T4: one more row in the report history
+    # T4: one more row in the report history; its id is given once and kept
     reports_table = f"{root}/reconciliation_reports"
+    last = 0
+    if table_exists(spark, reports_table):
+        last = read_table(spark, reports_table, schema.RECONCILIATION_TABLE) \
+            .agg(F.max("report_id")).first()[0] or 0
     (reconciled.withColumn("generated_at", F.lit(generated).cast("timestamp"))
+     .withColumn("report_id", F.lit(last + 1).cast("long"))
      .write.mode("append").parquet(reports_table))
-    history = reconcile.number_reports(read_table(spark, reports_table,
-                                                  schema.RECONCILIATION_TABLE))
+    history = read_table(spark, reports_table, schema.RECONCILIATION_TABLE) \
+        .where(F.col("report_id") == last + 1)
     this_run = history.where((F.col("window_start") == to_ts(start))
                              & (F.col("generated_at") == F.lit(generated).cast("timestamp")))
 

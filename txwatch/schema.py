@@ -5,6 +5,7 @@ from pyspark.sql.types import (
     StructField, StructType, TimestampType,
 )
 
+# Field and column names of the message contract and the stored tables.
 # The JSON payload of one transaction message; every field nullable, extra fields ignored.
 PAYLOAD = StructType([
     StructField("transaction_id", StringType(), True),
@@ -46,7 +47,7 @@ ALERT_COLUMNS = [
 ]
 
 MONEY = DecimalType(12, 2)
-TOTAL = DecimalType(14, 2)
+TOTAL = DecimalType(38, 2)  # wide enough for any sum of MONEY
 
 RAW_TABLE = StructType([
     StructField("transaction_id", StringType(), False),
@@ -85,6 +86,13 @@ RECONCILIATION_TABLE = StructType([
     StructField("validated_count", LongType(), False),
     StructField("validated_amount", TOTAL, False),
     StructField("generated_at", TimestampType(), False),
+    StructField("report_id", LongType(), True),
 ])
 
+# transactions no table can hold, with every failed check
+REJECT_TABLE = StructType([
+    StructField(f.name, DoubleType() if f.name == "amount" else f.dataType, True)
+    for f in RAW_TABLE.fields if f.name != "ingested_at"
+] + [StructField("reject_reason", StringType(), False)])
+
 WAREHOUSE_COLUMNS = LEDGER_COLUMNS + ["batch_processed_at"]

@@ -62,7 +62,6 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    ship_package(spark)
     return spark
 
 
@@ -121,12 +120,19 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
-    The cluster names its shared folder in ``spark.checkpoint.dir``; we only invent one
-    (a private temp folder) when the setting is absent, which is the case in tests.
+    The cluster names its shared folder in ``spark.checkpoint.dir``.  Only a local master
+    without that setting (tests) gets a temp folder, once per application; on a cluster
+    its absence is an error, because the executors could not see a driver's folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
     if not root:
-        root = tempfile.mkdtemp(prefix="txwatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        kept = sc._jsc.sc().getCheckpointDir()
+        if kept.isDefined():
+            root = kept.get()
+        elif sc.master.startswith("local") and "cluster" not in sc.master:
+            root = tempfile.mkdtemp(prefix="txwatch-ckpt-")
+            sc.setCheckpointDir(root)
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return "/".join([root.rstrip("/"), *parts, uuid.uuid4().hex])

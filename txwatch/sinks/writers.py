@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Schemes whose folder rename copies objects one by one.
+OBJECT_STORES = frozenset({"s3", "s3a", "s3n", "gs", "oss", "cos"})
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when a Parquet table has been written at ``path`` (any file system)."""
     try:
@@ -45,16 +49,31 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def read_folders(spark: SparkSession, path: str, partition_col: str, values: list[str],
+                 schema: StructType | None = None) -> DataFrame:
+    """The given partition folders of a stored table; folders that don't exist are empty."""
+    root = path.rstrip("/")
+    jvm = spark.sparkContext._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    folders = [f"{root}/{partition_col}={v}" for v in sorted(values)]
+    found = [f for f in folders if fs.exists(jvm.org.apache.hadoop.fs.Path(f))]
+    if not found:
+        return spark.createDataFrame([], schema) if schema is not None else read_table(spark, root).limit(0)
+    reader = spark.read.option("basePath", root)
+    return (reader.schema(schema) if schema is not None else reader).parquet(*found)
+
+
 def stored_slice(spark: SparkSession, path: str, bounds: dict | None,
                  partition_col: str | None, time_col: str | None,
                  schema: StructType | None = None) -> DataFrame:
     """The part of a stored table a batch can collide with: its partitions (directory
     pruning) and its time range (Parquet min/max statistics skip other files)."""
-    stored = read_table(spark, path, schema)
     if bounds and partition_col:
-        # partition values compare as text: date=YYYY-MM-DD directories
+        # only the touched partition folders are listed, however long the history is
         values = [v.isoformat() if hasattr(v, "isoformat") else str(v) for v in bounds["values"]]
-        stored = stored.where(F.col(partition_col).cast("string").isin(values))
+        stored = read_folders(spark, path, partition_col, values, schema)
+    else:
+        stored = read_table(spark, path, schema)
     if bounds and time_col and bounds["lo"] is not None:
         stored = stored.where(F.col(time_col).between(F.lit(bounds["lo"]), F.lit(bounds["hi"])))
     return stored
@@ -98,10 +117,12 @@ def publish_batch(rows: DataFrame, feed_root: str, batch_id: int) -> None:
     The rows are written to a hidden staging folder (names starting with ``_`` are
     skipped by file listings) and the folder is then renamed to ``batch_id=N``, so a
     reader lists either none or all of the batch's files.  A retried batch replaces
-    its folder.  (Folder rename is atomic on HDFS-like file systems.)
+    its folder.  Folder rename has to be atomic: object stores without it are refused.
     """
     spark = rows.sparkSession
     root = feed_root.rstrip("/")
+    if root.split(":", 1)[0] in OBJECT_STORES:
+        raise ValueError(f"{root}: the feed needs a file system with atomic folder rename")
     staging = f"{root}/_staging-{batch_id}-{uuid.uuid4().hex}"
     rows.write.mode("overwrite").parquet(staging)
     jvm = spark.sparkContext._jvm
@@ -145,10 +166,14 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict,
 
 
 def insert_or_ignore_jdbc(batch: DataFrame, url: str, table: str, properties: dict,
-                          keys: list[str]) -> None:
+                          keys: list[str], key_ranges: list[str] | None = None) -> None:
     """Insert-or-ignore into a database table: anti join against its stored keys,
-    then a plain append (a duplicate can no longer roll back a whole partition)."""
+    then a plain append (a duplicate can no longer roll back a whole partition).
+
+    ``key_ranges`` are SQL conditions that split the table (one task reads each); without
+    them one connection reads all stored keys."""
     spark = batch.sparkSession
-    stored = spark.read.jdbc(url, table, properties=properties).select(*keys)
+    reader = {"predicates": key_ranges} if key_ranges else {}
+    stored = spark.read.jdbc(url, table, properties=properties, **reader).select(*keys)
     fresh = batch.dropDuplicates(keys).join(stored, keys, "left_anti")
     fresh.write.jdbc(url, table, mode="append", properties=properties)

@@ -70,7 +70,18 @@ def stream_validated(spark, sf_dir):
     return amounts_as_double(detector.read_validated(spark, sinks).select(*LEDGER_COLUMNS))
 
 
+def stream_rejected(spark, sf_dir):
+    """The feed with broken rows through the ledger query: what no table can hold."""
+    root = shared_dir(spark, "txwatch-stream")
+    sinks = detector.SinkPaths(f"{root}/tables")
+    tx = events_feed.dirty_transactions(feed_stream(spark, sf_dir))
+    detector.start_ledger(tx, sinks, f"{root}/checkpoints/ledger", clock=FEED_CLOCK,
+                          available_now=True).awaitTermination()
+    return detector.read_rejected(spark, sinks)
+
+
 STREAM_QUERIES = {
+    "stream_rejected": stream_rejected,
     "stream_high_value": stream_high_value,
     "stream_validated": stream_validated,
     "stream_travel": stream_travel,

@@ -28,17 +28,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
 from txwatch import config, schema
-from txwatch.functions.columns import country_of, window_start
+from txwatch.functions.columns import country_of, is_high_value, is_validated, window_start
 from txwatch.operators import alerts as alert_ops
 from txwatch.operators import ledger, rules
 from txwatch.operators.skew import semi_join_split_hot
 from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
 from txwatch.sinks.writers import (
-    batch_bounds, insert_or_ignore_parquet, publish_batch, read_table, table_exists,
+    batch_bounds, insert_or_ignore_parquet, publish_batch, read_folders, read_table, table_exists,
 )
+from txwatch.session import ship_package
+from txwatch.streaming.metrics import BatchMetricsListener, observed
 from txwatch.streaming.travel_state import OUTPUT_SCHEMA, TravelProcessor
 
 
@@ -81,6 +83,8 @@ class SinkPaths:
     validated: str = field(init=False)
     raw: str = field(init=False)
     feed: str = field(init=False)
+    rejected: str = field(init=False)
+    keys: str = field(init=False)
 
     def __post_init__(self):
         base = self.root.rstrip("/")
@@ -89,6 +93,42 @@ class SinkPaths:
         self.raw = f"{base}/transactions_raw"
         # raw rows per micro-batch, each batch published atomically (travel input)
         self.feed = f"{base}/_feeds/raw_batches"
+        # messages no table can hold, one folder per micro-batch
+        self.rejected = f"{base}/rejected_transactions"
+        # every stored transaction_id with its event time, in folders by hash of the id
+        self.keys = f"{base}/_keys/transactions"
+
+    def alerts_of(self, reason: str) -> str:
+        """Each rule's query appends to a root of its own, so neither commits (or cleans
+        up) under the other's feet."""
+        return f"{self.alerts}/reason={reason}"
+
+
+KEY_SCHEMA = StructType([
+    StructField("transaction_id", schema.RAW_TABLE["transaction_id"].dataType),
+    StructField("event_timestamp", schema.RAW_TABLE["event_timestamp"].dataType),
+    StructField("key_bucket", IntegerType()),
+])
+SECOND_TIME = "transaction_id already stored with another event_timestamp"
+
+
+def _accepted_and_rejected(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Storable rows (amounts in cents; flags of the row rules, which look at the amount
+    as sent) and rejects.  Constraints come before any cast, alert or dedup."""
+    columns = LEDGER_COLUMNS + ["is_high", "is_valid"]
+    flagged = batch.withColumns({
+        "is_high": F.coalesce(is_high_value("amount"), F.lit(False)),
+        "is_valid": F.coalesce(is_validated("amount"), F.lit(False))})
+    accepted, rejected = ledger.conform(flagged, columns)
+    return accepted, rejected.drop("is_high", "is_valid")
+
+
+def _first_of_each_id(rows: DataFrame) -> DataFrame:
+    """One row per transaction_id: the earliest, ties by all columns.  The aggregation
+    combines copies before the shuffle, so a message replayed many times is one row."""
+    rest = ["event_timestamp", *[c for c in rows.columns if c not in ("transaction_id", "event_timestamp")]]
+    return (rows.groupBy("transaction_id").agg(F.min(F.struct(*rest)).alias("first"))
+            .select("transaction_id", "first.*").select(*rows.columns))
 
 
 def _with_event_date(df: DataFrame) -> DataFrame:
@@ -97,21 +137,40 @@ def _with_event_date(df: DataFrame) -> DataFrame:
 
 def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
                        clock: Clock = processing_time) -> None:
-    """Fan one stateless micro-batch out to alerts, validated and raw tables.
+    """Fan one stateless micro-batch out to alerts, validated, raw and rejected tables.
 
     Rows that cannot be stored (NULL in a NOT NULL column, too long, amount out of
-    NUMERIC(12,2)) are left out of every table instead of failing the query.
+    NUMERIC(12,2)) go to ``rejected_transactions`` instead of failing the query, and so
+    does a transaction_id that is already stored (or comes in the batch) with another
+    event time: the id alone is the key.  A bad copy never displaces a good one.
     """
-    # One row per transaction, then contiguous time slices per task: every task writes
-    # few files per date, and their min/max statistics make later key checks cheap.
-    # Micro-batch plans run without AQE, so both shuffles are sized to the cores of the
-    # application instead of the session's shuffle partitions.
-    n = batch.sparkSession.sparkContext.defaultParallelism
-    rows = _with_event_date(
-        batch.where(F.col("transaction_id").isNotNull())
-        .repartition(n, "transaction_id").dropDuplicates(["transaction_id"]))
-    rows = rows.repartitionByRange(n, "event_date", "event_timestamp").persist()
+    spark = batch.sparkSession
+    # Contiguous time slices per task: every task writes few files per date, and their
+    # min/max statistics make later key checks cheap.  Micro-batch plans run without AQE,
+    # so the shuffle is sized to the cores of the application.
+    n = spark.sparkContext.defaultParallelism
+    batch = batch.persist()                       # read once: its source and its metrics
+    accepted, rejected = _accepted_and_rejected(batch)
+    accepted = accepted.distinct().persist()      # copies combine before the shuffle
+    bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(config.KEY_BUCKETS)).cast("int")
+    rows = None
     try:
+        first = _first_of_each_id(accepted)
+        buckets = [str(r[0]) for r in accepted.select(bucket).distinct().collect()]  # at most KEY_BUCKETS
+        known = read_folders(spark, sinks.keys, "key_bucket", buckets, KEY_SCHEMA) \
+            .select("transaction_id", F.col("event_timestamp").alias("known_time")).distinct()
+        checked = first.join(known, "transaction_id", "left")
+        rows = _with_event_date(
+            checked.where(F.col("known_time").isNull() | (F.col("known_time") == F.col("event_timestamp"))))
+        rows = rows.repartitionByRange(n, "event_date", "event_timestamp").persist()
+        kept_time = checked.select("transaction_id", F.coalesce("known_time", "event_timestamp").alias("kept_time"))
+        second = (accepted.join(kept_time, "transaction_id").where(F.col("event_timestamp") != F.col("kept_time"))
+                  .withColumn("reject_reason", F.lit(SECOND_TIME)))
+        # one folder per micro-batch: a retry replaces it
+        (rejected.withColumn("amount", F.col("amount").cast("double"))
+         .unionByName(second.select(*[F.col(c).cast("double").alias(c) if c == "amount" else F.col(c)
+                                      for c in rejected.columns]))
+         .distinct().write.mode("overwrite").parquet(f"{sinks.rejected}/batch_id={batch_id}"))
         bounds = batch_bounds(rows, "event_date", "event_timestamp")
         if bounds["lo"] is None:
             return
@@ -119,22 +178,29 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
                     bounds=bounds, deduplicated=True)
         keep = ["event_date"]
         hv_alerts, _ = ledger.conform(
-            alert_ops.alert_rows(rules.high_value(rows), config.HIGH_VALUE)
+            alert_ops.alert_rows(rows.where("is_high"), config.HIGH_VALUE)
             .withColumn("event_date", F.col("event_timestamp").cast("date")),
             ALERT_COLUMNS + keep)
         insert_or_ignore_parquet(hv_alerts.withColumn("detected_at", clock("detected_at")),
-                                 sinks.alerts, ["transaction_id", "fraud_reason"], **sink)
-        valid, _ = ledger.conform(rules.validated(rows), LEDGER_COLUMNS + keep)
+                                 sinks.alerts_of(config.HIGH_VALUE),
+                                 ["transaction_id", "fraud_reason"], **sink)
+        valid = rows.where("is_valid").select(*LEDGER_COLUMNS, *keep)
         insert_or_ignore_parquet(valid.withColumn("batch_processed_at", clock("batch_processed_at")),
                                  sinks.validated, ["transaction_id"], **sink)
-        raw, _ = ledger.conform(rows, LEDGER_COLUMNS + keep)
+        raw = rows.select(*LEDGER_COLUMNS, *keep)
         raw = raw.withColumn("ingested_at", clock("ingested_at"))
         insert_or_ignore_parquet(raw, sinks.raw, ["transaction_id"], **sink)
         # the batch's storable rows, published whole for the travel query once they are
         # stored (replayed ones included: they only repeat countries already counted)
         publish_batch(raw, sinks.feed, batch_id)
+        # last, so that a retry after a crash still finds its rows missing or equal
+        (rows.where(F.col("known_time").isNull()).select("transaction_id", "event_timestamp", bucket.alias("key_bucket"))
+         .write.mode("append").partitionBy("key_bucket").parquet(sinks.keys))
     finally:
-        rows.unpersist()
+        accepted.unpersist()
+        batch.unpersist()
+        if rows is not None:
+            rows.unpersist()
 
 
 def write_travel_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
@@ -144,7 +210,8 @@ def write_travel_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         _with_event_date(alert_ops.alert_rows(batch, config.IMPOSSIBLE_TRAVEL)),
         ALERT_COLUMNS + ["event_date"])
     insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
-                             sinks.alerts, ["transaction_id", "fraud_reason"],
+                             sinks.alerts_of(config.IMPOSSIBLE_TRAVEL),
+                             ["transaction_id", "fraud_reason"],
                              partition_col="event_date", time_col="event_timestamp",
                              partitions=batch.sparkSession.sparkContext.defaultParallelism)
 
@@ -171,8 +238,7 @@ def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
         if bounds["lo"] is None:
             return
         dates = sorted(d.isoformat() for d in set(bounds["d0"]) | set(bounds["d1"]))
-        stored = (read_table(flagged.sparkSession, sinks.raw, RAW_STREAM_SCHEMA)
-                  .where(F.col("event_date").cast("string").isin(dates))
+        stored = (read_folders(flagged.sparkSession, sinks.raw, "event_date", dates, RAW_STREAM_SCHEMA)
                   .where((F.col("event_timestamp") >= F.lit(bounds["lo"]))
                          & (F.col("event_timestamp") < F.lit(bounds["hi"]))))
         rows = rules.windowed(stored.withColumn("country", country_of("location")), window)
@@ -181,7 +247,8 @@ def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
         alerts = alert_ops.alert_rows(flagged_rows, config.IMPOSSIBLE_TRAVEL) \
             .withColumn("event_date", F.col("event_timestamp").cast("date"))
         insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
-                                 sinks.alerts, ["transaction_id", "fraud_reason"],
+                                 sinks.alerts_of(config.IMPOSSIBLE_TRAVEL),
+                                 ["transaction_id", "fraud_reason"],
                                  partition_col="event_date", time_col="event_timestamp",
                                  partitions=flagged.sparkSession.sparkContext.defaultParallelism)
     finally:
@@ -189,7 +256,15 @@ def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
 
 
 def read_alerts(spark, sinks: SinkPaths) -> DataFrame:
-    return read_table(spark, sinks.alerts, ALERT_STREAM_SCHEMA)
+    """Alerts of both rules (the ``reason`` folders), as one table."""
+    return read_folders(spark, sinks.alerts, "reason", [config.HIGH_VALUE, config.IMPOSSIBLE_TRAVEL],
+                        StructType([*ALERT_STREAM_SCHEMA, StructField("reason", StringType())])).drop("reason")
+
+
+def read_rejected(spark, sinks: SinkPaths) -> DataFrame:
+    """Messages no table could hold, each once however often it was sent."""
+    stored = StructType([*schema.REJECT_TABLE, StructField("batch_id", LongType())])
+    return read_table(spark, sinks.rejected, stored).drop("batch_id").distinct()
 
 
 def read_validated(spark, sinks: SinkPaths) -> DataFrame:
@@ -211,6 +286,7 @@ def travel_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
         .select("user_id", "window_start", "transaction_id", "event_timestamp",
                 "merchant_category", "amount", "location", "country")
     )
+    ship_package(tx.sparkSession)      # the processor is imported by the Python workers
     return keyed.groupBy("user_id", "window_start").transformWithStateInPandas(
         statefulProcessor=TravelProcessor(interval_ms(window)),
         outputStructType=OUTPUT_SCHEMA,
@@ -233,15 +309,15 @@ def travel_windows_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
     )
 
 
-def raw_ledger_stream(spark, sinks: SinkPaths, max_files_per_trigger: int | None = None
-                      ) -> DataFrame:
+def raw_ledger_stream(spark, sinks: SinkPaths) -> DataFrame:
     """Newly stored raw rows as a stream: the ledger's per-batch feed, where each
     micro-batch appears whole (see ``sinks.writers.publish_batch``)."""
-    reader = (spark.readStream.schema(RAW_STREAM_SCHEMA)
-              .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return (reader.parquet(sinks.feed)
+    # batches are read whole (a split batch would move the watermark past its own rows)
+    # and deleted once their micro-batch is committed, so the feed stays short
+    return (spark.readStream.schema(RAW_STREAM_SCHEMA)
+            .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+            .option("cleanSource", "delete")
+            .parquet(sinks.feed)
             .withColumn("country", country_of("location")))
 
 
@@ -249,6 +325,7 @@ def raw_ledger_stream(spark, sinks: SinkPaths, max_files_per_trigger: int | None
 class Detector:
     ledger: StreamingQuery | None = None
     travel: StreamingQuery | None = None
+    metrics: BatchMetricsListener | None = None
 
     def queries(self) -> list[StreamingQuery]:
         return [q for q in (self.ledger, self.travel) if q is not None]
@@ -286,16 +363,17 @@ def start_ledger(tx: DataFrame, sinks: SinkPaths, checkpoint: str,
 
 def start_travel(spark, sinks: SinkPaths, checkpoint: str,
                  clock: Clock = processing_time, available_now: bool = False,
-                 trigger: str = "30 seconds", state_partitions: int | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """The travel rule over the raw ledger stream (the ledger must have been written
-    at least once, so the table exists).
+                 trigger: str = "30 seconds", state_partitions: int | None = None
+                 ) -> StreamingQuery:
+    """The travel rule over the raw ledger stream; the feed may still be empty.
 
     ``state_partitions`` fixes how many partitions the window state is spread over
     (kept in the checkpoint for the life of the query); by default the session's
     shuffle partitions.
     """
-    flagged = travel_windows_stream(raw_ledger_stream(spark, sinks, max_files_per_trigger))
+    feed = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sinks.feed)
+    feed.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(feed)
+    flagged = travel_windows_stream(raw_ledger_stream(spark, sinks))
     writer = _trigger(
         flagged.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
         .foreachBatch(lambda df, bid: write_flagged_windows(df, bid, sinks, clock)),
@@ -328,18 +406,16 @@ def start(tx: DataFrame, sinks: SinkPaths, checkpoint_root: str,
     """Start the speed layer; each query has its own checkpoint under ``checkpoint_root``.
 
     With ``available_now`` (backfill, tests) the ledger is drained first and the travel
-    query then drains the ledger table.  Otherwise both run continuously; the travel
-    query starts once the ledger table exists.
+    query then drains its feed.  Otherwise both start at once, also on an empty source,
+    and run until stopped.  Rows and alert counts per micro-batch are in ``metrics``.
     """
     base = checkpoint_root.rstrip("/")
     spark = tx.sparkSession
-    ledger_q = start_ledger(tx, sinks, f"{base}/ledger", clock, available_now, ledger_trigger)
+    metrics = BatchMetricsListener()
+    spark.streams.addListener(metrics)
+    ledger_q = start_ledger(observed(tx), sinks, f"{base}/ledger", clock, available_now, ledger_trigger)
     if available_now:
         ledger_q.awaitTermination()
-    elif not table_exists(spark, sinks.feed):
-        ledger_q.processAllAvailable()
-    travel_q = None
-    if table_exists(spark, sinks.feed):
-        travel_q = start_travel(spark, sinks, f"{base}/travel", clock, available_now,
-                                travel_trigger, state_partitions)
-    return Detector(ledger=ledger_q, travel=travel_q)
+    travel_q = start_travel(spark, sinks, f"{base}/travel", clock, available_now,
+                            travel_trigger, state_partitions)
+    return Detector(ledger=ledger_q, travel=travel_q, metrics=metrics)

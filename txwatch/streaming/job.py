@@ -2,7 +2,7 @@
 of them stops (``awaitAnyTermination``), as a long-running service would.
 
     python -m txwatch.streaming.job --source kafka --servers host:9092 --topic t \\
-        --tables s3://bucket/tables --checkpoints s3://bucket/ckpt
+        --tables hdfs:///tables --checkpoints hdfs:///ckpt --state-partitions 400
     python -m txwatch.streaming.job --source files --path /data/inbox ...
 """
 
@@ -23,12 +23,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--path", help="folder of envelope files (files source)")
     ap.add_argument("--tables", required=True, help="root folder of the stored tables")
     ap.add_argument("--checkpoints", required=True, help="root folder of query checkpoints")
+    ap.add_argument("--state-partitions", type=int, default=None,
+                    help="partitions of the travel state, kept in the checkpoint for life; "
+                         "required with --profile cluster")
     ap.add_argument("--ledger-trigger", default="5 seconds")
     ap.add_argument("--travel-trigger", default="30 seconds")
     ap.add_argument("--available-now", action="store_true",
                     help="backfill: drain what is there (ledger first, then travel) and exit")
     ap.add_argument("--profile", choices=["cluster", "local"], default="cluster")
     args = ap.parse_args(argv)
+    if args.profile == "cluster" and args.state_partitions is None:
+        ap.error("--state-partitions is required: executors may still be joining at start-up")
 
     spark = build_session(profile=args.profile)
     if args.source == "kafka":
@@ -39,8 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     job = detector.start(tx, detector.SinkPaths(args.tables), args.checkpoints,
                          available_now=args.available_now,
                          ledger_trigger=args.ledger_trigger, travel_trigger=args.travel_trigger,
-                         # window state: one partition per core of the application
-                         state_partitions=spark.sparkContext.defaultParallelism)
+                         state_partitions=args.state_partitions or spark.sparkContext.defaultParallelism)
     if args.available_now:
         job.wait()
     else:

@@ -35,6 +35,7 @@ class BatchMetricsListener(StreamingQueryListener):
         metrics = p.observedMetrics.get(self.name) if p.observedMetrics else None
         self.batches.append({
             "query": str(p.id),
+            "run": str(p.runId),
             "batch": p.batchId,
             "input_rows": p.numInputRows,
             "metrics": metrics.asDict() if metrics is not None else None,
