@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language_id, license_scans, lm_scoring, packing, quality_rules, secret_scans,
+from . import (decontaminate, language_id, license_scans, lm_scoring, oracle, packing, quality_rules, secret_scans,
                simhash_dedup, substring_dedup, token_files)
 from .common import table
 
@@ -68,7 +68,7 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = quality_rules.judged(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    return df.drop("lang")
+    return df.drop("lang", "class_distance", "word_distance")
 
 
 QUERIES = {
@@ -84,4 +84,9 @@ QUERIES = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": oracle.DECONTAMINATE,
+    "op10_quality_rules": oracle.quality(
+        quality_rules.COMMON_WORDS, quality_rules.MAX_COMMON_LENGTH, quality_rules.MIN_JUDGED_WORDS,
+        quality_rules.MIN_CHARS, quality_rules.MAX_WORD_DISTANCE, quality_rules.MAX_CLASS_DISTANCE),
+}
