@@ -49,7 +49,7 @@ def test_travel_batch_forms_agree(spark):
 
 def test_travel_hot_group_split_is_exact(spark):
     tx = parsed(spark)
-    split = rules.impossible_travel(tx, hot_rows=1, max_slices=3)
+    split = rules.impossible_travel(tx, hot_rows=1)
     assert ids(split) == sorted(expected(2))
     assert split.count() == len(expected(2))
 
@@ -156,7 +156,7 @@ def test_salted_travel_equals_plain_semi_join_on_feed(spark):
     from conftest import SF_SMALL
     from txwatch.sources import events_feed
     tx = events_feed.transactions(spark, SF_SMALL)
-    salted = rules.impossible_travel(tx, hot_rows=1, max_slices=4).select("transaction_id")
+    salted = rules.impossible_travel(tx, hot_rows=1).select("transaction_id")
     plain = rules.impossible_travel_semi(tx).select("transaction_id")
     assert salted.count() == plain.count() == 20
     assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
@@ -189,7 +189,7 @@ def test_hot_group_split_through_shuffle_join(spark):
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        salted = rules.impossible_travel(tx, hot_rows=2_000, max_slices=64)
+        salted = rules.impossible_travel(tx, hot_rows=2_000)
         plain = rules.impossible_travel_semi(tx)
         assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
         got = salted.select("transaction_id")

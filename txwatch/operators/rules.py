@@ -54,11 +54,14 @@ def travel_groups(tx: DataFrame, window: str = config.TRAVEL_WINDOW) -> DataFram
     """One row per (user, window): its set of countries and its row count."""
     return (
         windowed(tx, window)
+        # one row per country first (hash aggregation with partials), so that the list
+        # of a group holds each country once and never grows with its rows
+        .groupBy(*GROUP_KEYS, "country")
+        .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*GROUP_KEYS)
         .agg(
-            # bounded by the number of distinct countries, merged map-side
-            F.collect_set("country").alias("country_set"),
-            F.count(F.lit(1)).alias("n_transactions"),
+            F.collect_list("country").alias("country_set"),
+            F.sum("n").alias("n_transactions"),
         )
     )
 
