@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import types as T
 
-from tests_llm_data import SCHEMA
+from .data import SCHEMA
 
 
 @pytest.fixture(scope="session")
