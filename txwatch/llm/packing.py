@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import staged
-from .tokens import BARE, Encoder
+from .tokens import BARE, worker_encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -49,7 +49,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer, BARE)
+        encoder = worker_encoder(tokenizer, BARE)
         end, part, seen = struct.pack("<I", end_id), TaskContext.get().partitionId(), Counter()
         for b in batches:
             rows = []

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shared_folder
-from .tokens import SPACED, Encoder
+from .tokens import SPACED, worker_encoder
 
 END_ID = 0
 BLOCK_IDS = 1 << 20      # ids of a block, unless one document has more
@@ -101,7 +101,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(tokenizer, SPACED)
+        encoder = worker_encoder(tokenizer, SPACED)
         width = "<u2" if encoder.whole.get_vocab_size() <= 1 << 16 else "<u4"
         end = struct.pack("<I", end_id)
         shard, seq, base = TaskContext.get().partitionId(), 0, 0

@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import re
 import struct
+import sys
+from collections.abc import Callable
+from types import ModuleType
 from unicodedata import is_normalized
 
 # White space as the tokenizers' patterns see it is the Unicode property; Python's \s adds
@@ -39,6 +42,21 @@ def _byte_letters() -> dict[int, str]:
 _BYTES = _byte_letters()
 
 
+def worker_state(key: tuple, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task.  Functions come pickled by value, so
+    what outlives a task stands in a module of its own."""
+    held = vars(sys.modules.setdefault("txwatch_worker_state", ModuleType("txwatch_worker_state")))
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
+def worker_encoder(path: str, chunks: tuple[re.Pattern, re.Pattern]) -> Encoder:
+    """The Python worker's encoder for a vocabulary; the next tasks of the worker find the
+    chunks that earlier ones met."""
+    return worker_state(("encoder", path), lambda: Encoder(path, chunks))
+
+
 class Encoder(dict):
     """Ids of texts as little-endian unsigned 32-bit bytes.  The dictionary itself holds the
     chunks met so far; it is emptied once it has more than ``cache`` of them."""
