@@ -1,8 +1,11 @@
 """The operators do the whole job: nothing is cut to save time."""
 import numpy as np
+import public_tokenizers
 
 from txwatch.llm import lm_scoring
 
+WORDS = public_tokenizers.path("word_bpe_49k.json")
+
 
 def test_lm_model_is_not_reduced():
     assert (lm_scoring.WINDOW, lm_scoring.CLASSES, lm_scoring.ROUNDS) == (32, 64, 3)
@@ -11,3 +14,34 @@ def test_lm_model_is_not_reduced():
 def test_lm_attention_scores_are_not_clipped():
     a = lm_scoring._masked_softmax(np.array([[[60.0, 0.0], [31.0, 40.0]]]), 0)
     assert np.allclose(a, [[[1, 0], [1 / (1 + np.e ** 9), 1 / (1 + np.e ** -9)]]])
+
+
+def test_lm_trains_on_every_id(spark):
+    text = " ".join(f"word{i} text" for i in range(300))
+    docs = spark.createDataFrame([(1, text), (2, "short one"), (3, None)], "doc_id bigint, text string")
+    found, subwords = lm_scoring.gathered(docs, WORDS).where("ids is not null").collect(), lm_scoring.Subwords(WORDS)
+    want = [subwords.sequence(lm_scoring.words(t)) for t in (text, "short one", "")]
+    kind = lm_scoring.stored_kind(subwords.size)
+    got = {}
+    for r in found:
+        got.setdefault(r["n"], {})[r["place"]] = np.frombuffer(bytes(r["ids"]), kind)
+    assert len(got) == 3
+    half = lm_scoring.WINDOW // 2
+    joined = []
+    for places in got.values():
+        parts = [places[i] for i in range(len(places))]
+        assert all(len(w) == lm_scoring.WINDOW + 1 for w in parts[:-1])
+        joined.append(tuple(np.concatenate([parts[0], *(w[half + 1:] for w in parts[1:])]).tolist()))
+    assert sorted(joined) == sorted(tuple(s.tolist()) for s in want)
+
+
+def test_lm_rare_id_keeps_its_update():
+    p = lm_scoring.initial(6, np.array([0, 0, 1, 1, 1, 1]), np.ones(6))
+    windows = np.full((2, lm_scoring.WINDOW + 1), 1, np.int32)
+    rare = windows.copy()
+    rare[0, 3] = 4
+    moved = {k: v + 1 for k, v in p.items()}
+    total = lm_scoring._summand(moved, rare) + 999 * lm_scoring._summand(p, windows)
+    new = lm_scoring._averaged(p, total)
+    assert np.allclose(new["emb"][4], p["emb"][4] + 1) and np.allclose(new["emb"][5], p["emb"][5])
+    assert np.allclose(new["emb"][1], p["emb"][1] + 1e-3, atol=1e-4) and np.allclose(new["wq"], p["wq"] + 1e-3, atol=1e-6)
