@@ -2,7 +2,7 @@
 import numpy as np
 import public_tokenizers
 
-from txwatch.llm import lm_scoring
+from txwatch.llm import language_id, lm_scoring
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -45,3 +45,18 @@ def test_lm_rare_id_keeps_its_update():
     new = lm_scoring._averaged(p, total)
     assert np.allclose(new["emb"][4], p["emb"][4] + 1) and np.allclose(new["emb"][5], p["emb"][5])
     assert np.allclose(new["emb"][1], p["emb"][1] + 1e-3, atol=1e-4) and np.allclose(new["wq"], p["wq"] + 1e-3, atol=1e-6)
+
+
+def test_every_language_is_learned(spark):
+    rng, rows = np.random.default_rng(4), []
+    for lang in range(70):
+        letters = [chr(0x4E00 + 40 * lang + i) for i in range(20)]
+        for i in range(7 if lang < 60 else 3):
+            text = " ".join("".join(rng.choice(letters, 4)) for _ in range(40))
+            rows.append((1 if lang == 66 else 100 * lang + i, text, f"l{lang:02}"))
+    rows += [(8000 + i, "12 34", "l69") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").coalesce(2)
+    model = language_id.fit(docs)
+    assert model.langs == [f"l{i:02}" for i in range(70)]
+    got = language_id.predicted(docs.where("text != '12 34'"), model).collect()
+    assert sum(r["lang_pred"] == r["lang"] for r in got) >= 0.98 * len(got)

@@ -10,8 +10,11 @@ that were held back.  L1 leaves most weights zero.
 Because values are shares, a document's logits are a mean of per-n-gram weights: whole
 texts are scored by table look-ups and sums, with nothing kept per distinct n-gram.
 
-Bound of the sample (a parameter): ``SAMPLE_ROWS`` rows in all, the same number of each of
-the ``MAX_LANGS`` most frequent values of ``lang``, those with the least hash of doc_id.
+Every distinct ``lang`` of a training row whose text has a letter is learned.  Bound of the
+sample (a parameter): the same number of rows of each language, those with the least hash of
+doc_id; ``SAMPLE_ROWS`` rows in all, but not under ``LANG_ROWS`` a language.  So the model grows
+with the number of languages: for each, 256 KB of the table that goes to the tasks and 1 MB
+of the driver's memory while it learns, and fitting time grows with its square.
 
 Null text or text without a letter: ``und`` with score 1.  Rows with null lang teach
 nothing.  No labelled rows at all: every document is ``und``.  Repeated rows are predicted
@@ -32,7 +35,7 @@ BITS = 16
 ORDERS = 3
 SCALE = 100.0            # shares are small numbers; this only sets the unit of the weights
 SAMPLE_ROWS = 2000
-MAX_LANGS = 64
+LANG_ROWS = 30           # rows of a language that are sampled if it has them
 EPOCHS = 4
 ALPHA, BETA = 0.5, 1.0   # learning rate of follow-the-regularised-leader
 L1, L2 = 1e-3, 1e-3
@@ -91,22 +94,21 @@ def document_frequencies(train: DataFrame) -> tuple[int, np.ndarray]:
     return int(rows.loc[rows["slot"] < 0, "n"].sum()), df
 
 
-def sample(train: DataFrame, rows: int = SAMPLE_ROWS, max_langs: int = MAX_LANGS) -> DataFrame:
-    """The bounded training sample.  Only ids and labels are ranked, no text is moved."""
-    langs = [r["lang"] for r in train.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
-    if not langs:
-        return train.limit(0)
-    each = max(2, rows // len(langs))
+def sample(train: DataFrame, rows: int = SAMPLE_ROWS, least: int = LANG_ROWS) -> tuple[DataFrame, int]:
+    """The training sample and its rows of each language.  Only ids and labels are ranked, no
+    text is moved; one row of cuts for each language goes to the tasks."""
+    train = train.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    each = max(least, rows // max(1, train.select("lang").distinct().count()))
     key = F.xxhash64(F.col("doc_id"))
     rank = Window.partitionBy("lang").orderBy("h")
-    cuts = (train.where(F.col("lang").isin(langs)).select("lang", key.alias("h"))
+    cuts = (train.select("lang", key.alias("h"))
             .withColumn("r", F.row_number().over(rank)).where(F.col("r") <= each + 1)
-            .groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.max("h").alias("h")).collect())
-    chosen = F.lit(False)
-    for r in cuts:
-        own = F.col("lang") == r["lang"]
-        chosen = chosen | (own & (key < r["h"]) if r["n"] > each else own)
-    return train.where(chosen)
+            .groupBy(F.col("lang").alias("s_lang"))
+            .agg(F.count(F.lit(1)).alias("s_n"), F.min("h").alias("s_first"), F.max("h").alias("s_stop")))
+    # repeats of one id may fill a language's share: they come in, and fit() takes ``each``
+    chosen = (F.col("s_n") <= each) | (key < F.col("s_stop")) | (key == F.col("s_first"))
+    return (train.join(F.broadcast(cuts), F.col("lang") == F.col("s_lang")).where(chosen)
+            .drop("s_lang", "s_n", "s_first", "s_stop"), each)
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -143,7 +145,9 @@ class Model:
         self.langs, self.table, self.bias, self.temperature = langs, table, bias, temperature
 
     def logits(self, slots: np.ndarray) -> np.ndarray:
-        return self.table[slots].sum(0, dtype=np.float64) / len(slots) + self.bias
+        step = max(1, (1 << 22) // max(1, len(self.langs)))      # rows of the table at a time
+        total = sum(self.table[slots[at:at + step]].sum(0, dtype=np.float64) for at in range(0, len(slots), step))
+        return total / len(slots) + self.bias
 
     def predict(self, text: str | None, letters: np.ndarray) -> tuple[str, float]:
         slots = ngrams(text or "", letters)
@@ -170,26 +174,34 @@ def fit(train: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
                     found.append((h, lang, slots.astype(np.int32), counts.astype(np.int32)))
             yield pd.DataFrame(found, columns=["h", "lang", "slots", "counts"])
 
-    own = sample(train, rows).select(F.xxhash64("doc_id").alias("h"), "lang", "text").mapInPandas(
-        run, "h bigint, lang string, slots array<int>, counts array<int>").toPandas()
-    own = own.sort_values(["h", "lang"], kind="stable")
+    chosen, each = sample(train, rows)
+    rank = Window.partitionBy("lang").orderBy("h", "slots", "counts")
+    own = chosen.select(F.xxhash64("doc_id").alias("h"), "lang", "text").mapInPandas(
+        run, "h bigint, lang string, slots array<int>, counts array<int>").withColumn(
+        "r", F.row_number().over(rank)).where(F.col("r") <= each).toPandas()
+    own = own.sort_values(["h", "lang", "r"], kind="stable")
     langs = sorted(own["lang"].unique())
     number = {lang: i for i, lang in enumerate(langs)}
     if not langs:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros(0), 1.0)
     examples = [(np.asarray(s), SCALE * np.asarray(c) / np.sum(c) * idf[np.asarray(s)], number[lang])
                 for s, c, lang in zip(own["slots"], own["counts"], own["lang"])]
-    held = examples[::HELD_BACK] if len(examples) >= 10 * HELD_BACK else []
-    kept = [e for i, e in enumerate(examples) if not held or i % HELD_BACK]
+    # each language keeps its first rows, so that holding back leaves no language unlearned
+    back = (own["r"] % HELD_BACK == 0).to_numpy() & (len(examples) >= 10 * HELD_BACK)
+    held = [e for e, x in zip(examples, back) if x]
+    kept = [e for e, x in zip(examples, back) if not x]
     model = FTRL(1 << BITS, len(langs))
     order = np.random.default_rng(0)
     for _ in range(EPOCHS):
         for i in order.permutation(len(kept)):
             model.learn(*kept[i])
-    weights, bias = model.weights(slice(0, 1 << BITS)), model.weights(np.array([1 << BITS]))[0]
+    table, bias = np.empty((1 << BITS, len(langs)), np.float32), model.weights(np.array([1 << BITS]))[0]
+    for lo in range(0, 1 << BITS, 1 << 12):
+        own_slots = slice(lo, lo + (1 << 12))
+        table[own_slots] = SCALE * idf[own_slots, None] * model.weights(own_slots)
     temperature = 1.0
     if held:
-        logits = np.stack([x @ weights[at] + bias for at, x, _ in held])
+        logits = np.stack([x @ model.weights(at) + bias for at, x, _ in held])
         truth = np.array([y for _, _, y in held])
         # smoothed targets: separable rows would otherwise ask for a temperature of zero
         soft = np.full(logits.shape, 1.0 / (len(truth) + 2) / max(1, len(langs) - 1))
@@ -197,13 +209,13 @@ def fit(train: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
         grid = np.exp(np.linspace(np.log(0.05), np.log(20.0), 121))
         loss = [-(soft * np.log(np.maximum(_softmax(logits / t), 1e-300))).sum() for t in grid]
         temperature = float(grid[int(np.argmin(loss))])
-    return Model(langs, (SCALE * idf[:, None] * weights).astype(np.float32), bias, temperature)
+    return Model(langs, table, bias, temperature)
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without its text, plus lang_pred and score."""
     own = docs.select("text", *[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "lang_pred", "score")])
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS rows of at most MAX_LANGS floats
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS rows of a float for each language
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         letters, fitted = letter_table(), sent.value
