@@ -2,7 +2,7 @@
 import numpy as np
 import public_tokenizers
 
-from txwatch.llm import language_id, lm_scoring
+from txwatch.llm import language_id, license_scans, lm_scoring
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
@@ -60,3 +60,24 @@ def test_every_language_is_learned(spark):
     assert model.langs == [f"l{i:02}" for i in range(70)]
     got = language_id.predicted(docs.where("text != '12 34'"), model).collect()
     assert sum(r["lang_pred"] == r["lang"] for r in got) >= 0.98 * len(got)
+
+
+def test_notices_are_found_anywhere():
+    prose = "lorem ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod "
+    scan = license_scans.Templates({}, 1000).scan
+    gpl = ("# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General "
+           "Public License as published by\n# the Free Software Foundation, either version {} of the License, or\n"
+           "# (at your option) any later version.\n")
+    for text, want, line in (
+            (prose + "Released under the MIT License. " + prose + "\n" + prose, "MIT", 0),
+            (prose * 40 + "This work is licensed under the GNU General Public License, version 3.", "GPL-3.0", 0),
+            (prose + "\n" + gpl.format(3) + prose, "GPL-3.0", 1), (gpl.format(2), "GPL-2.0", 0),
+            (gpl.format(3).replace("General", "Affero General"), "AGPL-3.0", 0),
+            ("Copyright (c) 2020 Example Corp. All rights reserved.", "proprietary", 0),
+            ("Copyright 2020 X. All rights reserved.\n" + license_scans._BSD + license_scans._AS_IS_BSD, "BSD-2-Clause", 1),
+            ("x = 1\n// SPDX-License-Identifier: Zlib OR MIT\n", "Zlib OR MIT", 1),
+            ("Released under the Foo License.", None, -1), (prose, None, -1), ("", None, -1)):
+        got = scan(text)
+        assert (got[0], got[2]) == (want, line), (text, got)
+    body = next(t for name, t in license_scans.TEMPLATES if name == "MIT" and len(t) > 500)
+    assert scan("Copyright 2020 X.\n\n" + body.replace("persons", "people"))[3] > 0.9
