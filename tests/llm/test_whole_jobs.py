@@ -2,9 +2,9 @@
 import numpy as np
 import public_tokenizers
 
-from txwatch.llm import language_id, license_scans, lm_scoring
+from txwatch.llm import language_id, license_scans, lm_scoring, token_files
 
-WORDS = public_tokenizers.path("word_bpe_49k.json")
+BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
 
 def test_lm_model_is_not_reduced():
@@ -81,3 +81,27 @@ def test_notices_are_found_anywhere():
         assert (got[0], got[2]) == (want, line), (text, got)
     body = next(t for name, t in license_scans.TEMPLATES if name == "MIT" and len(t) > 500)
     assert scan("Copyright 2020 X.\n\n" + body.replace("persons", "people"))[3] > 0.9
+
+
+def test_token_offsets_come_from_the_directory(spark, docs, tmp_path):
+    rng = np.random.default_rng(5)
+    for n, universe in ((0, 10), (1, 1), (5, 7), (token_files.SAMPLE, 90_000), (3 * token_files.SAMPLE + 7, 900_000)):
+        values = np.sort(rng.integers(0, universe + 1, n))
+        kept = token_files.EliasFano(token_files.EliasFano.encode(values, universe))
+        for lo, hi in {(0, n), (n // 3, n // 2), (n // 2, n), (n, n)}:
+            assert kept.selected(lo, hi).tolist() == values[lo:hi].tolist()
+    token_files.write(docs, str(tmp_path / "files"), BYTES, block_ids=5000)
+    blocks = spark.read.parquet(str(tmp_path / "files")).collect()
+
+    row = blocks[0].asDict()
+    shifted = bytearray(row["bounds"])
+    shifted[-4:] = (int.from_bytes(shifted[-4:], "little") + 1).to_bytes(4, "little")   # the last directory entry
+    schema = spark.read.parquet(str(tmp_path / "files")).schema
+    spark.createDataFrame([row], schema).write.parquet(str(tmp_path / "good"))
+    spark.createDataFrame([row | {"bounds": bytes(shifted)}], schema).write.parquet(str(tmp_path / "bad"))
+    assert token_files.read(spark, str(tmp_path / "good")).count() == len(row["doc_ids"])
+    try:
+        bad = token_files.read(spark, str(tmp_path / "bad")).collect()
+    except Exception:
+        return      # what lies behind the entry does not fit any more
+    assert bad != token_files.read(spark, str(tmp_path / "good")).collect()

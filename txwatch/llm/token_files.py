@@ -90,6 +90,22 @@ class EliasFano:
                 return (high << self.low) | int(self._lows(i, i + 1)[0])
             left, byte, skip = left - len(ones), byte + 64, 0
 
+    def selected(self, lo: int, hi: int) -> np.ndarray:
+        """The values lo to hi - 1: the select of all values of a directory entry at a time."""
+        if not 0 <= lo <= hi <= self.n:
+            raise IndexError((lo, hi))
+        out = [np.zeros(0, np.int64)]
+        for entry in range(lo // SAMPLE, -(-hi // SAMPLE)):
+            first, last = entry * SAMPLE, min((entry + 1) * SAMPLE, self.n)
+            at = int(self.samples[entry])
+            stop = int(self.samples[entry + 1]) if last < self.n else len(self.highs) * 8
+            byte = at // 8
+            ones = np.flatnonzero(np.unpackbits(self.highs[byte:(stop + 7) // 8], bitorder="little")) + byte * 8
+            ones = ones[ones >= at][:last - first]
+            own = ((ones - np.arange(first, last)) << self.low) | self._lows(first, last)
+            out.append(own[max(lo - first, 0):hi - first])
+        return np.concatenate(out)
+
     def values(self) -> np.ndarray:
         ones = np.flatnonzero(np.unpackbits(self.highs, bitorder="little"))[:self.n]
         return ((ones - np.arange(self.n)) << self.low) | self._lows(0, self.n)
@@ -146,7 +162,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for row in b.itertuples(index=False):
-                ends = EliasFano(row.bounds).values()
+                bounds = EliasFano(row.bounds)
+                ends = bounds.selected(0, bounds.n)
                 starts = np.concatenate(([0], ends[:-1]))
                 ids = np.frombuffer(row.ids, "<u2" if row.width == 2 else "<u4").astype("<u4")
                 yield pd.DataFrame({
