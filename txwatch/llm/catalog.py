@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, language_id, license_scans, lm_scoring, oracle, packing, quality_rules, secret_scans,
-               simhash_dedup, substring_dedup, token_files)
+from . import (collocations, decontaminate, language_id, license_scans, lm_scoring, nearest, oracle, packing,
+               quality_rules, secret_scans, simhash_dedup, spelling, substring_dedup, token_files)
 from .common import table
 
 
@@ -71,6 +71,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.drop("lang", "class_distance", "word_distance")
 
 
+def op11_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.grouped(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -82,6 +94,9 @@ QUERIES = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_secret_scans": op9_secret_scans,
     "op10_quality_rules": op10_quality_rules,
+    "op11_nearest": op11_nearest,
+    "op12_spelling": op12_spelling,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -89,4 +104,6 @@ ORACLE_SQL: dict[str, str] = {
     "op10_quality_rules": oracle.quality(
         quality_rules.COMMON_WORDS, quality_rules.MAX_COMMON_LENGTH, quality_rules.MIN_JUDGED_WORDS,
         quality_rules.MIN_CHARS, quality_rules.MAX_WORD_DISTANCE, quality_rules.MAX_CLASS_DISTANCE),
+    "op11_nearest": oracle.NEAREST,
+    "op13_collocations": oracle.collocations(collocations.MIN_COUNT, collocations.ABSORBED, collocations.TOP),
 }

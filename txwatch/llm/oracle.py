@@ -102,3 +102,72 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        AND NOT (n_words >= {min_words} AND word_far.far > {word_limit})
        AND NOT (length(text) >= {min_chars} AND class_far.far > {class_limit}) AS kept
 FROM base JOIN word_far USING (doc_id) JOIN class_far USING (doc_id)"""
+
+
+NEAREST = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+def collocations(min_count: int, absorbed: int, top: int) -> str:
+    return f"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, p FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\n\x0B\x0C\r]')) AS p
+    FROM documents WHERE text IS NOT NULL)
+),
+split AS (
+  SELECT lang, piece, list_filter(regexp_split_to_array(p, '[ \t]+'), lambda x: x <> '') AS ws FROM pieces
+),
+words AS (
+  SELECT lang, piece, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM split
+),
+along AS (
+  SELECT lang, w, lead(w) OVER reading AS w2, lead(w, 2) OVER reading AS w3 FROM words
+  WINDOW reading AS (PARTITION BY piece ORDER BY i)
+),
+f1 AS (SELECT lang, w, count(*) AS f FROM along GROUP BY ALL),
+f2 AS (SELECT lang, w, w2, count(*) AS f FROM along WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w, w2, w3, count(*) AS f FROM along WHERE w3 IS NOT NULL GROUP BY ALL),
+longer AS (SELECT * FROM f3 WHERE f >= {min_count}),
+cuts AS (
+  SELECT p.lang, p.w || ' ' || p.w2 AS phrase, 1 AS k, p.f AS a, x.f AS l, y.f AS r
+  FROM f2 p JOIN f1 x ON x.lang = p.lang AND x.w = p.w JOIN f1 y ON y.lang = p.lang AND y.w = p.w2
+  WHERE p.f >= {min_count}
+    AND NOT EXISTS (SELECT 1 FROM longer t WHERE t.lang = p.lang AND t.w = p.w AND t.w2 = p.w2 AND 100 * t.f >= {absorbed} * p.f)
+    AND NOT EXISTS (SELECT 1 FROM longer t WHERE t.lang = p.lang AND t.w2 = p.w AND t.w3 = p.w2 AND 100 * t.f >= {absorbed} * p.f)
+  UNION ALL
+  SELECT t.lang, t.w || ' ' || t.w2 || ' ' || t.w3, 1, t.f, x.f, y.f
+  FROM longer t JOIN f1 x ON x.lang = t.lang AND x.w = t.w JOIN f2 y ON y.lang = t.lang AND y.w = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w || ' ' || t.w2 || ' ' || t.w3, 2, t.f, x.f, y.f
+  FROM longer t JOIN f2 x ON x.lang = t.lang AND x.w = t.w AND x.w2 = t.w2 JOIN f1 y ON y.lang = t.lang AND y.w = t.w3
+),
+scored AS (
+  SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts
+),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM best
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score
+FROM ranked r JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f1 GROUP BY lang) t ON t.lang = r.lang
+WHERE r.rank <= {top}
+"""
