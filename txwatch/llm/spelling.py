@@ -77,7 +77,8 @@ def counted(docs: DataFrame) -> DataFrame:
                     held[written_word(own, prefix, known)] += n
                 if len(held) >= HELD:
                     yield handed()
-        yield handed()
+        if held:
+            yield handed()
 
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return (docs.select(key.alias("key"), "text").mapInPandas(run, "word string, n bigint")
@@ -241,7 +242,8 @@ def summed_links(dealt: DataFrame) -> DataFrame:
                 rows.append(row)
         if rows:
             behind(rows)
-        yield handed()
+        if held:
+            yield handed()
 
     ordered = dealt.repartition("state").sortWithinPartitions("state") \
         .select("state", "length", "front", "back", "word", "n")
