@@ -48,5 +48,5 @@ RECONCILIATION_HEADERS = [
 # --- tuning knobs (ours, not the reference's) --------------------------------
 # A (user, window) group with more rows than this is split over several join tasks.
 HOT_GROUP_ROWS = 1_000_000
-# Key-index folders of the speed layer (kept for the life of the tables).
-KEY_BUCKETS = 64
+# Keys in one file of the speed layer's key index.
+KEYS_PER_FILE = 4_000_000

@@ -97,7 +97,10 @@ def insert_or_ignore_parquet(batch: DataFrame, path: str, keys: list[str],
     if deduplicated:
         fresh = batch
     elif partitions:
-        fresh = batch.repartition(partitions, *keys).dropDuplicates(keys)
+        # copies of a key become one row before the shuffle
+        rest = [c for c in batch.columns if c not in keys]
+        fresh = (batch.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("first"))
+                 .select(*keys, "first.*").select(*batch.columns).coalesce(partitions))
     else:
         fresh = batch.dropDuplicates(keys)
     if table_exists(spark, path):

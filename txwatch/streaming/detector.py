@@ -5,13 +5,11 @@
    alerts, validated rows and the raw ledger, each an insert-or-ignore sink, so a
    replayed batch writes nothing twice.
 2. ``travel`` reads the raw rows the ledger publishes per micro-batch (each batch
-   appears whole, and only after its rows are stored), keeps per (10-minute window,
-   user) only the lowest and highest
-   country and a count in built-in streaming state (watermark 5 minutes, update
-   mode), and for the windows flagged in a micro-batch semi-joins the stored raw rows
-   (pruned to the batch's dates and time range) into IMPOSSIBLE_TRAVEL alerts.  A
-   window that changes again is flagged again; the insert-or-ignore alert sink keeps
-   one alert per (transaction_id, fraud_reason).
+   appears whole, and only after its rows are stored) and joins the stream with itself
+   per (10-minute window, user) in built-in streaming state (watermark 5 minutes, append
+   mode): each row of a flagged window comes out once, also those of earlier
+   micro-batches, and nothing stored is read again.  The insert-or-ignore alert sink keeps
+   one alert per (transaction_id, fraud_reason) across replays.
 
 ``travel_stream`` is a second form of rule 2 that reads the message stream directly
 and keeps the held rows in keyed state (``travel_state``); it emits each row once.
@@ -28,19 +26,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
 from txwatch import config, schema
 from txwatch.functions.columns import country_of, is_high_value, is_validated, window_start
 from txwatch.operators import alerts as alert_ops
-from txwatch.operators import ledger, rules
-from txwatch.operators.skew import semi_join_split_hot
+from txwatch.operators import ledger
 from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
+from txwatch.sinks.key_index import KeyIndex
 from txwatch.sinks.writers import (
     batch_bounds, insert_or_ignore_parquet, publish_batch, read_folders, read_table, table_exists,
 )
 from txwatch.session import ship_package
-from txwatch.streaming.metrics import BatchMetricsListener, observed
+from txwatch.streaming.metrics import BatchMetricsListener, observed, observed_travel
 from txwatch.streaming.travel_state import OUTPUT_SCHEMA, TravelProcessor
 
 
@@ -95,7 +93,7 @@ class SinkPaths:
         self.feed = f"{base}/_feeds/raw_batches"
         # messages no table can hold, one folder per micro-batch
         self.rejected = f"{base}/rejected_transactions"
-        # every stored transaction_id with its event time, in folders by hash of the id
+        # every stored transaction_id with its event time (sinks.key_index)
         self.keys = f"{base}/_keys/transactions"
 
     def alerts_of(self, reason: str) -> str:
@@ -107,7 +105,6 @@ class SinkPaths:
 KEY_SCHEMA = StructType([
     StructField("transaction_id", schema.RAW_TABLE["transaction_id"].dataType),
     StructField("event_timestamp", schema.RAW_TABLE["event_timestamp"].dataType),
-    StructField("key_bucket", IntegerType()),
 ])
 SECOND_TIME = "transaction_id already stored with another event_timestamp"
 
@@ -152,13 +149,11 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
     batch = batch.persist()                       # read once: its source and its metrics
     accepted, rejected = _accepted_and_rejected(batch)
     accepted = accepted.distinct().persist()      # copies combine before the shuffle
-    bucket = F.pmod(F.xxhash64("transaction_id"), F.lit(config.KEY_BUCKETS)).cast("int")
+    index = KeyIndex(spark, sinks.keys, KEY_SCHEMA, config.KEYS_PER_FILE)
     rows = None
     try:
         first = _first_of_each_id(accepted)
-        buckets = [str(r[0]) for r in accepted.select(bucket).distinct().collect()]  # at most KEY_BUCKETS
-        known = read_folders(spark, sinks.keys, "key_bucket", buckets, KEY_SCHEMA) \
-            .select("transaction_id", F.col("event_timestamp").alias("known_time")).distinct()
+        known = index.known(accepted).withColumnRenamed("event_timestamp", "known_time")
         checked = first.join(known, "transaction_id", "left")
         rows = _with_event_date(
             checked.where(F.col("known_time").isNull() | (F.col("known_time") == F.col("event_timestamp"))))
@@ -166,11 +161,13 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         kept_time = checked.select("transaction_id", F.coalesce("known_time", "event_timestamp").alias("kept_time"))
         second = (accepted.join(kept_time, "transaction_id").where(F.col("event_timestamp") != F.col("kept_time"))
                   .withColumn("reject_reason", F.lit(SECOND_TIME)))
-        # one folder per micro-batch: a retry replaces it
-        (rejected.withColumn("amount", F.col("amount").cast("double"))
-         .unionByName(second.select(*[F.col(c).cast("double").alias(c) if c == "amount" else F.col(c)
-                                      for c in rejected.columns]))
-         .distinct().write.mode("overwrite").parquet(f"{sinks.rejected}/batch_id={batch_id}"))
+        refused = (rejected.withColumn("amount", F.col("amount").cast("double"))
+                   .unionByName(second.select(*[F.col(c).cast("double").alias(c) if c == "amount" else F.col(c)
+                                                for c in rejected.columns])).distinct())
+        folder = f"{sinks.rejected}/batch_id={batch_id}"
+        # one folder per micro-batch that has rejects: a retry replaces it
+        if table_exists(spark, folder) or not refused.isEmpty():
+            refused.write.mode("overwrite").parquet(folder)
         bounds = batch_bounds(rows, "event_date", "event_timestamp")
         if bounds["lo"] is None:
             return
@@ -194,8 +191,7 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         # stored (replayed ones included: they only repeat countries already counted)
         publish_batch(raw, sinks.feed, batch_id)
         # last, so that a retry after a crash still finds its rows missing or equal
-        (rows.where(F.col("known_time").isNull()).select("transaction_id", "event_timestamp", bucket.alias("key_bucket"))
-         .write.mode("append").partitionBy("key_bucket").parquet(sinks.keys))
+        index.add(rows.where(F.col("known_time").isNull()))
     finally:
         accepted.unpersist()
         batch.unpersist()
@@ -205,54 +201,22 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
 
 def write_travel_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
                        clock: Clock = processing_time) -> None:
-    """Rows of a travel stream -> IMPOSSIBLE_TRAVEL alerts (insert-or-ignore)."""
+    """Rows of a travel stream -> IMPOSSIBLE_TRAVEL alerts (insert-or-ignore).  The batch is
+    run once: its plan moves streaming state."""
     alerts, _ = ledger.conform(
         _with_event_date(alert_ops.alert_rows(batch, config.IMPOSSIBLE_TRAVEL)),
         ALERT_COLUMNS + ["event_date"])
-    insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
-                             sinks.alerts_of(config.IMPOSSIBLE_TRAVEL),
-                             ["transaction_id", "fraud_reason"],
-                             partition_col="event_date", time_col="event_timestamp",
-                             partitions=batch.sparkSession.sparkContext.defaultParallelism)
-
-
-def write_flagged_windows(flagged: DataFrame, batch_id: int, sinks: SinkPaths,
-                          clock: Clock = processing_time,
-                          window: str = config.TRAVEL_WINDOW) -> None:
-    """Flagged (window, user) groups of one micro-batch -> alerts for all their rows.
-
-    The rows come from the raw ledger, read only for the dates and time range the
-    flagged windows cover; hot windows are split over several join tasks.
-    """
-    groups = flagged.select(
-        "user_id", F.col("window.start").alias("window_start"),
-        F.col("window.end").alias("window_end"), "n_transactions",
-    ).persist()
+    alerts = alerts.persist()
     try:
-        bounds = groups.agg(
-            F.collect_set(F.to_date("window_start")).alias("d0"),
-            F.collect_set(F.to_date(F.col("window_end") - F.expr("INTERVAL 1 MICROSECOND")))
-            .alias("d1"),
-            F.min("window_start").alias("lo"), F.max("window_end").alias("hi"),
-        ).first()
-        if bounds["lo"] is None:
-            return
-        dates = sorted(d.isoformat() for d in set(bounds["d0"]) | set(bounds["d1"]))
-        stored = (read_folders(flagged.sparkSession, sinks.raw, "event_date", dates, RAW_STREAM_SCHEMA)
-                  .where((F.col("event_timestamp") >= F.lit(bounds["lo"]))
-                         & (F.col("event_timestamp") < F.lit(bounds["hi"]))))
-        rows = rules.windowed(stored.withColumn("country", country_of("location")), window)
-        flagged_rows = semi_join_split_hot(rows, groups, rules.GROUP_KEYS,
-                                           rows_col="n_transactions", salt_col="transaction_id")
-        alerts = alert_ops.alert_rows(flagged_rows, config.IMPOSSIBLE_TRAVEL) \
-            .withColumn("event_date", F.col("event_timestamp").cast("date"))
-        insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
-                                 sinks.alerts_of(config.IMPOSSIBLE_TRAVEL),
-                                 ["transaction_id", "fraud_reason"],
-                                 partition_col="event_date", time_col="event_timestamp",
-                                 partitions=flagged.sparkSession.sparkContext.defaultParallelism)
+        bounds = batch_bounds(alerts, "event_date", "event_timestamp")
+        if bounds["lo"] is not None:
+            insert_or_ignore_parquet(alerts.withColumn("detected_at", clock("detected_at")),
+                                     sinks.alerts_of(config.IMPOSSIBLE_TRAVEL),
+                                     ["transaction_id", "fraud_reason"], bounds=bounds,
+                                     partition_col="event_date", time_col="event_timestamp",
+                                     partitions=batch.sparkSession.sparkContext.defaultParallelism)
     finally:
-        groups.unpersist()
+        alerts.unpersist()
 
 
 def read_alerts(spark, sinks: SinkPaths) -> DataFrame:
@@ -264,6 +228,8 @@ def read_alerts(spark, sinks: SinkPaths) -> DataFrame:
 def read_rejected(spark, sinks: SinkPaths) -> DataFrame:
     """Messages no table could hold, each once however often it was sent."""
     stored = StructType([*schema.REJECT_TABLE, StructField("batch_id", LongType())])
+    if not table_exists(spark, sinks.rejected):
+        return spark.createDataFrame([], stored).drop("batch_id")
     return read_table(spark, sinks.rejected, stored).drop("batch_id").distinct()
 
 
@@ -295,18 +261,33 @@ def travel_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
     )
 
 
-def travel_windows_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
-                          watermark: str = config.WATERMARK) -> DataFrame:
-    """Flagged windows as a built-in streaming aggregation (update mode): per
-    (window, user) the lowest/highest country and a count, no row lists in state."""
-    return (
+def travel_rows_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
+                       watermark: str = config.WATERMARK) -> DataFrame:
+    """Streaming rows of flagged (user, window) groups, each row once, from built-in
+    streaming joins (append mode; all state goes when the watermark passes its window).
+
+    ``first`` holds one row per group: the country met first.  A row of another country
+    joins it and is flagged at once.  One such row per group (``second``) proves the group,
+    and the rows of the first country, those of earlier micro-batches included, join that.
+    So a row meets one row at most, however many rows or countries its group has.
+    """
+    rows = (
         tx.where(F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull())
         .withWatermark("event_timestamp", watermark)
-        .groupBy(F.window("event_timestamp", window), "user_id")
-        .agg(F.min("country").alias("min_country"), F.max("country").alias("max_country"),
-             F.count(F.lit(1)).alias("n_transactions"))
-        .where(F.col("min_country") != F.col("max_country"))
+        .withColumn("window", F.window("event_timestamp", window))
+        # the window alone carries the watermark: a stream has one event-time column
+        .withColumn("at", F.timestamp_micros(F.unix_micros("event_timestamp")))
+        .select("user_id", "window", "transaction_id", "at", "merchant_category",
+                "amount", "location", "country")
     )
+    group = ["user_id", "window"]
+    first = (rows.where(F.col("country").isNotNull()).dropDuplicates(group)
+             .select(*group, F.col("country").alias("first_country")))
+    others = rows.join(first, group).where(F.col("country") != F.col("first_country"))
+    second = others.dropDuplicates(group).select(*group, "first_country")
+    same = (rows.join(second, group)
+            .where(F.col("country").isNull() | (F.col("country") == F.col("first_country"))))
+    return others.unionByName(same).drop("first_country").withColumnRenamed("at", "event_timestamp")
 
 
 def raw_ledger_stream(spark, sinks: SinkPaths) -> DataFrame:
@@ -373,10 +354,10 @@ def start_travel(spark, sinks: SinkPaths, checkpoint: str,
     """
     feed = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sinks.feed)
     feed.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(feed)
-    flagged = travel_windows_stream(raw_ledger_stream(spark, sinks))
+    flagged = observed_travel(travel_rows_stream(raw_ledger_stream(spark, sinks)))
     writer = _trigger(
-        flagged.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda df, bid: write_flagged_windows(df, bid, sinks, clock)),
+        flagged.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+        .foreachBatch(lambda df, bid: write_travel_batch(df, bid, sinks, clock)),
         available_now, trigger)
     if state_partitions is None:
         return writer.start()

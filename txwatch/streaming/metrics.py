@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter, deque
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -20,26 +22,39 @@ def observed(tx: DataFrame, name: str = "txwatch_batch") -> DataFrame:
     )
 
 
+def observed_travel(rows: DataFrame, name: str = "txwatch_travel") -> DataFrame:
+    """Count the rows that the travel rule flags per micro-batch."""
+    return rows.observe(name, F.count(F.lit(1)).alias("travel_alerts"))
+
+
 class BatchMetricsListener(StreamingQueryListener):
-    """Collects (batch id, observed metrics, state rows dropped as late) per query."""
+    """Per query (batch id, observed metrics, state rows dropped as late) of the last ``keep``
+    micro-batches, and totals over all of them: a service runs for months."""
 
-    def __init__(self, name: str = "txwatch_batch"):
-        self.name = name
-        self.batches: list[dict] = []
+    def __init__(self, name: str = "txwatch_batch", travel: str = "txwatch_travel", keep: int = 1000):
+        self.name, self.travel = name, travel
+        self.batches: deque[dict] = deque(maxlen=keep)
+        self.totals: Counter = Counter()
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        metrics = p.observedMetrics.get(self.name) if p.observedMetrics else None
+        found = p.observedMetrics or {}
+        metrics, travel = found.get(self.name), found.get(self.travel)
+        for row in (metrics, travel):
+            self.totals.update(row.asDict() if row is not None else {})
+        dropped = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        self.totals.update(batches=1, dropped_late=dropped)
         self.batches.append({
             "query": str(p.id),
             "run": str(p.runId),
             "batch": p.batchId,
             "input_rows": p.numInputRows,
             "metrics": metrics.asDict() if metrics is not None else None,
-            "dropped_late": sum(s.numRowsDroppedByWatermark for s in p.stateOperators),
+            "travel_alerts": travel["travel_alerts"] if travel is not None else None,
+            "dropped_late": dropped,
         })
 
     def onQueryIdle(self, event) -> None:
