@@ -59,7 +59,7 @@ def reconcile_window(raw: DataFrame, alerts: DataFrame, validated: DataFrame,
         side_by_side(*parts)
         .select(to_ts(start).alias("window_start"), to_ts(end).alias("window_end"),
                 *[F.col(c) for c in RECONCILED_COLUMNS[2:]])
-        .transform(_typed)
+        .transform(typed)
     )
 
 
@@ -96,11 +96,11 @@ def reconcile_all_windows(raw: DataFrame, alerts: DataFrame, validated: DataFram
     return (
         merged.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {duration}"))
         .select(*RECONCILED_COLUMNS)
-        .transform(_typed)
+        .transform(typed)
     )
 
 
-def _typed(df: DataFrame) -> DataFrame:
+def typed(df: DataFrame) -> DataFrame:
     return df.select(*[
         F.col(c).cast(config.TOTAL_TYPE).alias(c) if c.endswith("_amount")
         else F.col(c).cast("long").alias(c) if c.endswith("_count")

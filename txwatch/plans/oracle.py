@@ -338,6 +338,10 @@ FROM report_rows"""
     # streaming keys: with nothing late, a stream's final output equals the batch rule
     q["stream_high_value"] = _with() + f"SELECT {ALERT} FROM alerts WHERE fraud_reason = 'HIGH_VALUE'"
     q["stream_travel"] = _with() + f"SELECT {ALERT} FROM alerts WHERE fraud_reason = 'IMPOSSIBLE_TRAVEL'"
+    for stored, scanned in (("stored_fraud_by_category", "fraud_by_category"),
+                            ("stored_reconcile_windows", "reconcile_all_windows"),
+                            ("stored_recent_alerts", "recent_alerts")):
+        q[stored] = q[scanned]
     q["stream_validated"] = _with() + f"""
 SELECT transaction_id, user_id, event_timestamp, merchant_category, CAST(amount AS DOUBLE) AS amount,
        location, currency

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from txwatch import schema
 from txwatch.functions.columns import to_ts
 from txwatch.operators import reconcile, reports
+from txwatch.sinks.claims import next_number
 from txwatch.sinks.writers import read_table, table_exists, write_csv_report, write_warehouse
 
 
@@ -56,11 +57,13 @@ def run_window(spark: SparkSession, raw: DataFrame, alerts: DataFrame, validated
     if table_exists(spark, reports_table):
         last = read_table(spark, reports_table, schema.RECONCILIATION_TABLE) \
             .agg(F.max("report_id")).first()[0] or 0
+    # claimed: two runs at once get two ids
+    report_id = next_number(spark, f"{root}/_report_ids", above=last)
     (reconciled.withColumn("generated_at", F.lit(generated).cast("timestamp"))
-     .withColumn("report_id", F.lit(last + 1).cast("long"))
+     .withColumn("report_id", F.lit(report_id).cast("long"))
      .write.mode("append").parquet(reports_table))
     history = read_table(spark, reports_table, schema.RECONCILIATION_TABLE) \
-        .where(F.col("report_id") == last + 1)
+        .where(F.col("report_id") == report_id)
     this_run = history.where((F.col("window_start") == to_ts(start))
                              & (F.col("generated_at") == F.lit(generated).cast("timestamp")))
 

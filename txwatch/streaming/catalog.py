@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from txwatch import config
 from txwatch.operators.reports import amounts_as_double
+from txwatch.plans.catalog import RECENT_K
 from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
 from txwatch.session import configure, shared_dir
 from txwatch.sources import events_feed
-from txwatch.streaming import detector
+from txwatch.streaming import detector, stored_reports
 
 FEED_CLOCK = detector.event_time_clock(
     {"detected_at": 1, "batch_processed_at": 2, "ingested_at": 0})
@@ -80,9 +81,33 @@ def stream_rejected(spark, sf_dir):
     return detector.read_rejected(spark, sinks)
 
 
+def _refreshed(spark, sf_dir):
+    sinks = run_feed(spark, sf_dir)
+    stored_reports.refresh(spark, sinks)
+    return sinks
+
+
+def stored_fraud_by_category(spark, sf_dir):
+    """The category report from the stored days' partials."""
+    return amounts_as_double(stored_reports.fraud_by_category(spark, _refreshed(spark, sf_dir)))
+
+
+def stored_reconcile_windows(spark, sf_dir):
+    """All 6-hour reconciliations from the stored days' partials."""
+    return amounts_as_double(stored_reports.reconciled_windows(spark, _refreshed(spark, sf_dir)))
+
+
+def stored_recent_alerts(spark, sf_dir):
+    """The newest alerts, opening the newest days only."""
+    return amounts_as_double(stored_reports.recent_alerts(spark, _refreshed(spark, sf_dir), RECENT_K))
+
+
 STREAM_QUERIES = {
     "stream_rejected": stream_rejected,
     "stream_high_value": stream_high_value,
     "stream_validated": stream_validated,
     "stream_travel": stream_travel,
+    "stored_fraud_by_category": stored_fraud_by_category,
+    "stored_reconcile_windows": stored_reconcile_windows,
+    "stored_recent_alerts": stored_recent_alerts,
 }

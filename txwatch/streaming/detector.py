@@ -39,6 +39,7 @@ from txwatch.sinks.writers import (
 )
 from txwatch.session import ship_package
 from txwatch.streaming.metrics import BatchMetricsListener, observed, observed_travel
+from txwatch.streaming.stored_reports import note_days
 from txwatch.streaming.travel_state import OUTPUT_SCHEMA, TravelProcessor
 
 
@@ -83,6 +84,9 @@ class SinkPaths:
     feed: str = field(init=False)
     rejected: str = field(init=False)
     keys: str = field(init=False)
+    notes: str = field(init=False)
+    by_category: str = field(init=False)
+    by_window: str = field(init=False)
 
     def __post_init__(self):
         base = self.root.rstrip("/")
@@ -95,6 +99,10 @@ class SinkPaths:
         self.rejected = f"{base}/rejected_transactions"
         # every stored transaction_id with its event time (sinks.key_index)
         self.keys = f"{base}/_keys/transactions"
+        # days touched since the reports' partials were refreshed, and the partials
+        self.notes = f"{base}/_notes/days"
+        self.by_category = f"{base}/partials_by_category"
+        self.by_window = f"{base}/partials_by_window"
 
     def alerts_of(self, reason: str) -> str:
         """Each rule's query appends to a root of its own, so neither commits (or cleans
@@ -190,6 +198,7 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         # the batch's storable rows, published whole for the travel query once they are
         # stored (replayed ones included: they only repeat countries already counted)
         publish_batch(raw, sinks.feed, batch_id)
+        note_days(spark, sinks.notes, "ledger", batch_id, bounds["values"])
         # last, so that a retry after a crash still finds its rows missing or equal
         index.add(rows.where(F.col("known_time").isNull()))
     finally:
@@ -215,6 +224,7 @@ def write_travel_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
                                      ["transaction_id", "fraud_reason"], bounds=bounds,
                                      partition_col="event_date", time_col="event_timestamp",
                                      partitions=batch.sparkSession.sparkContext.defaultParallelism)
+            note_days(batch.sparkSession, sinks.notes, "travel", batch_id, bounds["values"])
     finally:
         alerts.unpersist()
 
@@ -263,16 +273,16 @@ def travel_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
 
 def travel_rows_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
                        watermark: str = config.WATERMARK) -> DataFrame:
-    """Streaming rows of flagged (user, window) groups, each row once, from built-in
-    streaming joins (append mode; all state goes when the watermark passes its window).
+    """Streaming rows of flagged (user, window) groups, each row once, from a built-in
+    stream-stream join (append mode; all state goes when the watermark passes its window).
 
-    ``first`` holds one row per group: the country met first.  A row of another country
-    joins it and is flagged at once.  One such row per group (``second``) proves the group,
-    and the rows of the first country, those of earlier micro-batches included, join that.
-    So a row meets one row at most, however many rows or countries its group has.
+    One side keeps each country of a group once; a row that meets a country other than its
+    own is flagged, in whichever micro-batch either came.  So a row meets as many rows as its
+    group has countries, not as many as it has rows, and is passed on the first time only,
+    also when its message is replayed.  Rows of the ledger always have a country.
     """
     rows = (
-        tx.where(F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull())
+        tx.where(F.col("event_timestamp").isNotNull() & F.col("user_id").isNotNull() & F.col("country").isNotNull())
         .withWatermark("event_timestamp", watermark)
         .withColumn("window", F.window("event_timestamp", window))
         # the window alone carries the watermark: a stream has one event-time column
@@ -281,13 +291,11 @@ def travel_rows_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
                 "amount", "location", "country")
     )
     group = ["user_id", "window"]
-    first = (rows.where(F.col("country").isNotNull()).dropDuplicates(group)
-             .select(*group, F.col("country").alias("first_country")))
-    others = rows.join(first, group).where(F.col("country") != F.col("first_country"))
-    second = others.dropDuplicates(group).select(*group, "first_country")
-    same = (rows.join(second, group)
-            .where(F.col("country").isNull() | (F.col("country") == F.col("first_country"))))
-    return others.unionByName(same).drop("first_country").withColumnRenamed("at", "event_timestamp")
+    countries = (rows.select(*group, F.col("country").alias("other")).dropDuplicates([*group, "other"]))
+    return (rows.join(countries, group).where(F.col("country") != F.col("other"))
+            .dropDuplicates([*group, "transaction_id"])
+            .select("user_id", "window", "transaction_id", F.col("at").alias("event_timestamp"),
+                    "merchant_category", "amount", "location", "country"))
 
 
 def raw_ledger_stream(spark, sinks: SinkPaths) -> DataFrame:
