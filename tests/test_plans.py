@@ -75,3 +75,31 @@ def test_observe_counts_per_batch(spark, tmp_path):
         assert listener.batches and listener.batches[0]["input_rows"] == 1000
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_bloom_filter_reduces_rows_before_the_shuffle(spark):
+    """With broadcasts off the rows that reach the join's exchange are about the flagged ones."""
+    from pyspark.sql import functions as F
+    from txwatch.operators import bloom
+
+    tx = events_feed.transactions(spark, SF_SMALL)
+    flagged = rules.flagged_groups(tx).select(*rules.GROUP_KEYS)
+    rows = rules.windowed(tx)
+    want = rules.impossible_travel(tx)
+    n, kept = want.count(), rows.where(bloom.may_hold(bloom.filter_of(flagged), rules.GROUP_KEYS)).count()
+    assert n <= kept <= n + 0.01 * rows.count()
+    small = rows.where(bloom.may_hold(bloom.filter_of(flagged, 1), rules.GROUP_KEYS, 1))   # overfull: more pass, none is lost
+    assert flagged.join(small, rules.GROUP_KEYS, "left_anti").count() == 0 and kept < small.count() <= rows.count()
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = [spark.conf.get(k, None) for k in keys]
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        for words in (1, bloom.WORDS):
+            got = rules.impossible_travel_reduced(tx, words=words, hot_rows=1)
+            assert got.count() == n and got.select("transaction_id").exceptAll(want.select("transaction_id")).count() == 0
+        assert "Subquery" in plan(got) and "BroadcastHashJoin" not in plan(got)
+        assert got.where(F.col("user_id").isNull()).count() == 0
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from txwatch import config
 from txwatch.functions.columns import is_high_value, is_validated, window_start
+from txwatch.operators import bloom
 from txwatch.operators.skew import semi_join_split_hot
 
 GROUP_KEYS = ["user_id", "window_start"]
@@ -115,6 +116,19 @@ def impossible_travel(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
     )
 
 
+def impossible_travel_reduced(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
+                              words: int = bloom.WORDS, **skew_options) -> DataFrame:
+    """Same rows as ``impossible_travel``, for flagged groups too many to broadcast: a Bloom
+    filter of the groups drops other rows before the join shuffles them."""
+    flagged = flagged_groups(tx, window)
+    rows = windowed(tx, window)
+    rows = rows.where(bloom.may_hold(bloom.filter_of(flagged.select(*GROUP_KEYS), words), GROUP_KEYS, words))
+    return semi_join_split_hot(
+        rows, flagged, GROUP_KEYS,
+        rows_col="n_transactions", salt_col="transaction_id", **skew_options,
+    )
+
+
 def impossible_travel_semi(tx: DataFrame, window: str = config.TRAVEL_WINDOW) -> DataFrame:
     """Same rows as ``impossible_travel`` through a plain left semi join (AQE splits
     skewed partitions at run time)."""

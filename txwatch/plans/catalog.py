@@ -121,6 +121,10 @@ def impossible_travel_semi(spark, sf_dir):
     return rules.impossible_travel_semi(_tx(spark, sf_dir)).select(*TRAVEL_ROW_COLUMNS)
 
 
+def impossible_travel_reduced(spark, sf_dir):
+    return rules.impossible_travel_reduced(_tx(spark, sf_dir)).select(*TRAVEL_ROW_COLUMNS)
+
+
 # --- alerts --------------------------------------------------------------------
 
 def _detected_at():
@@ -291,6 +295,7 @@ BATCH_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "travel_windows": travel_windows,
     "impossible_travel": impossible_travel,
     "impossible_travel_semi": impossible_travel_semi,
+    "impossible_travel_reduced": impossible_travel_reduced,
     "alerts_high_value": alerts_high_value,
     "alerts_travel": alerts_travel,
     "fraud_alerts": fraud_alerts,

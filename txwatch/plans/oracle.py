@@ -204,6 +204,7 @@ SELECT transaction_id, user_id, window_start, event_timestamp, merchant_category
 FROM travel"""
     q["impossible_travel"] = _with() + travel_rows
     q["impossible_travel_semi"] = _with() + travel_rows
+    q["impossible_travel_reduced"] = _with() + travel_rows
     q["alerts_high_value"] = _with() + f"SELECT {ALERT} FROM alerts WHERE fraud_reason = 'HIGH_VALUE'"
     q["alerts_travel"] = _with() + f"SELECT {ALERT} FROM alerts WHERE fraud_reason = 'IMPOSSIBLE_TRAVEL'"
     q["fraud_alerts"] = _with() + f"SELECT {ALERT} FROM alerts"

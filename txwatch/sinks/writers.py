@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from txwatch.sinks import compaction
+
 
 #: Schemes whose folder rename copies objects one by one.
 OBJECT_STORES = frozenset({"s3", "s3a", "s3n", "gs", "oss", "cos"})
@@ -46,6 +48,11 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
+        found = compaction.layout(spark, path.rstrip("/"))[1]
+        if found["packed"]:
+            column = found["column"]
+            return compaction.read_packed(spark, path.rstrip("/"), column, compaction.values_of(spark, path, column),
+                                          schema, found)
     return reader.parquet(path)
 
 
@@ -53,6 +60,10 @@ def read_folders(spark: SparkSession, path: str, partition_col: str, values: lis
                  schema: StructType | None = None) -> DataFrame:
     """The given partition folders of a stored table; folders that don't exist are empty."""
     root = path.rstrip("/")
+    if schema is not None:
+        packed = compaction.layout(spark, root)[1]
+        if packed["column"] == partition_col:
+            return compaction.read_packed(spark, root, partition_col, values, schema, packed)
     jvm = spark.sparkContext._jvm
     fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     folders = [f"{root}/{partition_col}={v}" for v in sorted(values)]

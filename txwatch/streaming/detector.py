@@ -33,6 +33,7 @@ from txwatch.functions.columns import country_of, is_high_value, is_validated, w
 from txwatch.operators import alerts as alert_ops
 from txwatch.operators import ledger
 from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
+from txwatch.sinks.compaction import compact
 from txwatch.sinks.key_index import KeyIndex
 from txwatch.sinks.writers import (
     batch_bounds, insert_or_ignore_parquet, publish_batch, read_folders, read_table, table_exists,
@@ -231,8 +232,19 @@ def write_travel_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
 
 def read_alerts(spark, sinks: SinkPaths) -> DataFrame:
     """Alerts of both rules (the ``reason`` folders), as one table."""
-    return read_folders(spark, sinks.alerts, "reason", [config.HIGH_VALUE, config.IMPOSSIBLE_TRAVEL],
-                        StructType([*ALERT_STREAM_SCHEMA, StructField("reason", StringType())])).drop("reason")
+    roots = [sinks.alerts_of(reason) for reason in (config.HIGH_VALUE, config.IMPOSSIBLE_TRAVEL)]
+    parts = [read_table(spark, r, ALERT_STREAM_SCHEMA) for r in roots if table_exists(spark, r)]
+    out = parts[0] if parts else spark.createDataFrame([], ALERT_STREAM_SCHEMA)
+    return out.unionByName(parts[1]) if len(parts) > 1 else out
+
+
+def compact_tables(spark, sinks: SinkPaths, days: list[str] | None = None, **limits) -> dict[str, list[str]]:
+    """Pack the small files that micro-batches leave in the date folders of all tables."""
+    tables = {sinks.raw: RAW_STREAM_SCHEMA, sinks.validated: VALIDATED_STREAM_SCHEMA,
+              sinks.alerts_of(config.HIGH_VALUE): ALERT_STREAM_SCHEMA,
+              sinks.alerts_of(config.IMPOSSIBLE_TRAVEL): ALERT_STREAM_SCHEMA}
+    return {path: compact(spark, path, "event_date", table, "event_timestamp", days, **limits)
+            for path, table in tables.items()}
 
 
 def read_rejected(spark, sinks: SinkPaths) -> DataFrame:
