@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pickle
 import tempfile
 import uuid
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sent(spark: SparkSession, thing: object) -> Broadcast:
+    """Broadcast an object of this package: pickled by value, as its functions are (a plain
+    broadcast asks for the package on every executor)."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(thing))
+
+
+def received(broadcast: Broadcast) -> object:
+    """In a task: the object that ``sent`` broadcast."""
+    return pickle.loads(broadcast.value)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, UPPER, staged
+from .common import LOWER, UPPER, received, sent, staged
 
 # Fixed values of the contract.
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -210,10 +210,10 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     automata = [Automaton(block, window) for block in _blocks(benchmark, block_words)] or [Automaton([], window)]
     spark = docs.sparkSession
     if len(automata) == 1:
-        sent = spark.sparkContext.broadcast(automata[0])
+        only = sent(spark, automata[0])
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            automaton = sent.value
+            automaton = received(only)
             for b in batches:
                 rows, clean = [], []
                 for text in b["text"]:
@@ -233,15 +233,16 @@ def judged(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
         F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("i"))), "rows")
     parts = None
     for automaton in automata:
-        sent = spark.sparkContext.broadcast(automaton)
+        of_block = sent(spark, automaton)
 
-        def hits(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        def hits(batches: Iterator[pd.DataFrame], of_block=of_block) -> Iterator[pd.DataFrame]:
+            automaton = received(of_block)
             for b in batches:
                 rows = []
                 for key, text in zip(b["k"], b["text"]):
-                    mask, found = sent.value.scan(words(text if isinstance(text, str) else None))
+                    mask, found = automaton.scan(words(text if isinstance(text, str) else None))
                     if found:
-                        rows.append((key, _spans(mask), [sent.value.item_ids[i] for i in found]))
+                        rows.append((key, _spans(mask), [automaton.item_ids[i] for i in found]))
                 yield pd.DataFrame(rows, columns=["k", "spans", "items"])
 
         part = keyed.select(F.col("d_row.i").alias("k"), "text").mapInPandas(

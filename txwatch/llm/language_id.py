@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import received, sent
+
 BITS = 16
 ORDERS = 3
 SCALE = 100.0            # shares are small numbers; this only sets the unit of the weights
@@ -215,10 +217,10 @@ def fit(train: DataFrame, rows: int = SAMPLE_ROWS) -> Model:
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without its text, plus lang_pred and score."""
     own = docs.select("text", *[F.col(f"`{c}`") for c in docs.columns if c not in ("text", "lang_pred", "score")])
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # 2**BITS rows of a float for each language
+    fitted_model = sent(docs.sparkSession, model)  # 2**BITS rows of a float for each language
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        letters, fitted = letter_table(), sent.value
+        letters, fitted = letter_table(), received(fitted_model)
         for b in batches:
             found = [fitted.predict(text, letters) for text in _texts(b)]
             yield b.drop(columns="text").assign(

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import received, sent, staged
 
 _BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met: Redistributions of source code must retain the above copyright notice, this "
@@ -266,12 +266,13 @@ def scanned(files: DataFrame, path: str = "path", templates=TEMPLATES, threshold
     license (own or inherited), license_from (the path it comes from)."""
     added = ("own_license", "own_score", "own_line", "is_license_file", "license", "license_from")
     total, df = document_frequencies(files, templates)
-    sent = files.sparkSession.sparkContext.broadcast(Templates(df, total, templates, threshold))
+    known = sent(files.sparkSession, Templates(df, total, templates, threshold))
     keep = [c for c in files.columns if c != "text" and c not in added]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own_templates = received(known)
         for b in batches:
-            found = [sent.value.scan(t if isinstance(t, str) else "") for t in b["text"]]
+            found = [own_templates.scan(t if isinstance(t, str) else "") for t in b["text"]]
             out = b.drop(columns="text")
             for i, name in enumerate(("own_license", "own_score", "own_line", "l_share")):
                 out[name] = pd.Series([f[i] for f in found], index=b.index, dtype=(object, float, "int64", float)[i])
