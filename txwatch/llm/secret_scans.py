@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import re._constants as sre
 import re._parser as sre_parser
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -39,6 +40,8 @@ class Rule:
     direct: str = ""        # same matches with the length built in, where that is possible
 
 
+BLOCK = 64      # matches or spans of one walk
+
 # Base rules (fixed values of the contract).
 BASE = (
     Rule("assign", "(password|passwd|secret|token|api_?key)[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
@@ -141,29 +144,52 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             .where(F.size("s_kinds") > 0))
 
 
+def _named(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(items: Column, walk: Callable[[Column], Column]) -> Column:
+    """``walk`` over each run of ``BLOCK`` items.  Appending to an array or string copies it, so
+    walks are kept short and their results are put together once."""
+    last = F.floor((F.size(items) - 1) / BLOCK).cast("int")
+    return F.transform(F.sequence(F.lit(0), last), lambda i: walk(F.slice(items, i * BLOCK + 1, BLOCK)))
+
+
 def _spans(rule: Rule, at: int, text: Column) -> Column:
     """Array of (start, kind number, end, kind) of a rule's matches in ``text``.
 
     Splitting by the pattern gives the texts between the matches, so the lengths of both
-    give the positions.
+    give the positions: first inside a block of matches, then blocks are moved to their place.
     """
     pattern = rule.direct or (f"(?i:{rule.pattern})" if rule.any_case else rule.pattern)
     gaps = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
     sizes = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda x: F.length(x))
     tests = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(rule.group)), lambda x: F.length(x))
     parts = F.arrays_zip(gaps.alias("gap"), sizes.alias("size"), tests.alias("test"))
-    empty = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
-    walked = F.aggregate(
-        parts, F.struct(F.lit(0).alias("pos"), empty.alias("found")),
-        lambda acc, x: F.struct(
+    none = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
+
+    def span(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), F.lit(at).alias("number"), end.alias("end"),
+                        F.lit(rule.kind).alias("kind"))
+
+    def walk(block: Column) -> Column:
+        return F.aggregate(block, F.struct(F.lit(0).alias("pos"), none.alias("found")), lambda acc, x: F.struct(
             (acc["pos"] + x["gap"] + F.coalesce(x["size"], F.lit(0))).alias("pos"),
             F.when(F.coalesce(x["test"] >= rule.least, F.lit(False)) & x["size"].isNotNull(), F.concat(
-                acc["found"], F.array(F.struct(
-                    (acc["pos"] + x["gap"]).alias("start"), F.lit(at).alias("number"),
-                    (acc["pos"] + x["gap"] + x["size"]).alias("end"), F.lit(rule.kind).alias("kind")))))
-            .otherwise(acc["found"]).alias("found")),
-        lambda acc: acc["found"])
-    return walked
+                acc["found"], F.array(span(acc["pos"] + x["gap"], acc["pos"] + x["gap"] + x["size"]))))
+            .otherwise(acc["found"]).alias("found")))
+
+    def joined(blocks: Column) -> Column:
+        begins = F.aggregate(
+            blocks, F.struct(F.lit(0).alias("pos"), F.array().cast("array<int>").alias("at")),
+            lambda acc, x: F.struct((acc["pos"] + x["pos"]).alias("pos"),
+                                    F.concat(acc["at"], F.array(acc["pos"])).alias("at")),
+            lambda acc: acc["at"])
+        return F.flatten(F.zip_with(blocks, begins, lambda block, begin: F.transform(
+            block["found"], lambda s: span(s["start"] + begin, s["end"] + begin))))
+
+    return _named(parts, lambda p: _named(_blocks(p, walk), joined))
 
 
 def with_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -205,17 +231,36 @@ def masked(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[secre
     """``docs`` with every span replaced by ``mask`` (overlapping spans by one), and
     ``n_chars`` (if there) counted anew.  Other columns stay as they are."""
     text = F.col("s_text")
-    walked = F.aggregate(
-        "s_spans", F.struct(F.lit(0).alias("pos"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["pos"], s["end"]).alias("pos"),
-            F.when(s["start"] >= acc["pos"], F.concat(
-                acc["out"], F.substring(text, acc["pos"] + 1, s["start"] - acc["pos"]), F.lit(mask)))
-            .otherwise(acc["out"]).alias("out")),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["pos"] + 1, F.length(text))))
+
+    def ends(blocks: Column) -> Column:
+        # where each block of spans begins (after all spans before it), and the end of the last
+        return F.aggregate(
+            blocks, F.array(F.lit(0)),
+            lambda acc, block: F.concat(acc, F.array(F.greatest(
+                F.element_at(acc, -1), F.array_max(F.transform(block, lambda s: s["end"]))))))
+
+    def walk(block: Column, begin: Column, part: Column) -> Column:
+        return F.aggregate(
+            block, F.struct(begin.alias("pos"), F.lit("").alias("out")),
+            lambda acc, s: F.struct(
+                F.greatest(acc["pos"], s["end"]).alias("pos"),
+                F.when(s["start"] >= acc["pos"], F.concat(
+                    acc["out"], F.substring(part, acc["pos"] - begin + 1, s["start"] - acc["pos"]), F.lit(mask)))
+                .otherwise(acc["out"]).alias("out")),
+            lambda acc: acc["out"])
+
+    def joined(blocks: Column, begins: Column) -> Column:
+        cut = F.transform(blocks, lambda block, i: _named(begins[i], lambda begin: _named(
+            F.substring(text, begin + 1, begins[i + 1] - begin), lambda part: walk(block, begin, part))))
+        return F.concat(F.array_join(cut, ""), F.substring(text, F.element_at(begins, -1) + 1, F.length(text)))
+
+    walked = _named(_blocks(F.col("s_spans"), lambda block: block),
+                    lambda blocks: _named(ends(blocks), lambda begins: joined(blocks, begins)))
     hit = F.size("s_spans") > 0
-    row = F.col("s_whole").withField("text", F.when(hit, walked).otherwise(F.col("text")))
+    new = F.col("s_masked")
+    row = F.col("s_whole").withField("text", F.when(hit, new).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        row = row.withField("n_chars", F.when(hit, F.length(walked).cast(kind)).otherwise(F.col("s_whole.n_chars")))
-    return with_spans(docs, rules).select(row.alias("s_whole")).select("s_whole.*")
+        row = row.withField("n_chars", F.when(hit, F.length(new).cast(kind)).otherwise(F.col("s_whole.n_chars")))
+    return (with_spans(docs, rules).withColumn("s_masked", F.when(hit, walked))
+            .select(row.alias("s_whole")).select("s_whole.*"))
