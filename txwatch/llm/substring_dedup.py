@@ -353,20 +353,20 @@ def repeated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int =
                 rows += [(w["g"], w["ctx"], w["kinds"], w["lead"], data[w["first"]:w["last"] + length]) for w in own]
             yield pd.DataFrame(rows, columns=["g", "ctx", "kinds", "lead", "data"])
 
-    # rows that repeat give their contexts once
-    texts = _keyed(docs).select("key", "text").join(wanted, "key")
+    # rows that repeat give their contexts once: copies go before the shuffle
+    texts = _keyed(docs).groupBy("key").agg(F.first("text").alias("text")).join(wanted, "key")
     contexts = staged(texts.mapInPandas(cut, "g bigint, ctx bigint, kinds bigint, lead bigint, data binary"), "cut")
-    once = contexts.dropDuplicates(["g", "ctx"]) if False else contexts
-    cold = _sorted_contexts(once.where(F.col("kinds") <= hot).select("g", "ctx", "lead", "data"), length)
-    warm = _counted_strings(once.where(F.col("kinds") > hot).select("g", "ctx", "lead", "data"), length)
+    cold = _sorted_contexts(contexts.where(F.col("kinds") <= hot).select("g", "ctx", "lead", "data"), length)
+    warm = _counted_strings(contexts.where(F.col("kinds") > hot).select("g", "ctx", "lead", "data"), length)
     decided = staged(cold.unionByName(warm), "decided")
     whole = shared.where("not mixed").select("key", F.array(F.array(first, last)).alias("runs"))
     several = mixed.join(kinds.where("n > 1").select("g", "ctx"), ["g", "ctx"], "left_semi").select(
         "key", F.array(F.array(first, last)).alias("runs"))
     edges = mixed.join(decided, ["g", "ctx"]).select(
         "key", F.transform("runs", lambda r: F.array(r[0] + first, r[1] + first)).alias("runs"))
+    # a key's runs are a set, also before the shuffle: copies of a row have the same ones
     return (whole.unionByName(several).unionByName(edges)
-            .groupBy("key").agg(F.flatten(F.collect_list("runs")).alias("runs")))
+            .groupBy("key").agg(F.flatten(F.collect_set("runs")).alias("runs")))
 
 
 def deduplicated(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT,
