@@ -2,7 +2,7 @@
 import numpy as np
 import public_tokenizers
 
-from txwatch.llm import language_id, license_scans, lm_scoring, token_files
+from txwatch.llm import language_id, license_scans, lm_scoring, secret_scans, substring_dedup, token_files
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -17,22 +17,38 @@ def test_lm_attention_scores_are_not_clipped():
 
 
 def test_lm_trains_on_every_id(spark):
-    text = " ".join(f"word{i} text" for i in range(300))
-    docs = spark.createDataFrame([(1, text), (2, "short one"), (3, None)], "doc_id bigint, text string")
-    found, subwords = lm_scoring.gathered(docs, WORDS).where("ids is not null").collect(), lm_scoring.Subwords(WORDS)
-    want = [subwords.sequence(lm_scoring.words(t)) for t in (text, "short one", "")]
+    text = " ".join(f"word{i} text" for i in range(3000))
+    docs = spark.createDataFrame([(1, text), (2, "short one"), (None, None)], "doc_id bigint, text string")
+    subwords = lm_scoring.Subwords(WORDS)
     kind = lm_scoring.stored_kind(subwords.size)
-    got = {}
-    for r in found:
-        got.setdefault(r["n"], {})[r["place"]] = np.frombuffer(bytes(r["ids"]), kind)
-    assert len(got) == 3
-    half = lm_scoring.WINDOW // 2
-    joined = []
-    for places in got.values():
-        parts = [places[i] for i in range(len(places))]
-        assert all(len(w) == lm_scoring.WINDOW + 1 for w in parts[:-1])
-        joined.append(tuple(np.concatenate([parts[0], *(w[half + 1:] for w in parts[1:])]).tolist()))
-    assert sorted(joined) == sorted(tuple(s.tolist()) for s in want)
+    got = [np.frombuffer(bytes(r["ids"]), kind) for r in lm_scoring.segments(docs, WORDS).collect()]
+    assert len(got) > 4                                      # the long text is several segments
+    half, width, want = lm_scoring.WINDOW // 2, lm_scoring.WINDOW + 1, []
+    for t in (text, "short one", None):
+        seq = subwords.sequence(lm_scoring.words(t))
+        want += [seq[at:at + width].tolist() for at in range(0, max(1, len(seq) - 1 - half), half)]
+    cut = [[int(i) for i in w if i >= 0] for w in lm_scoring._windows(got)]
+    assert sorted(cut) == sorted(want)
+
+
+def test_lm_learns_from_rows_without_id(spark):
+    docs = spark.createDataFrame([(None, "one two three")], "doc_id bigint, text string")
+    row = lm_scoring.scored(docs, WORDS, rounds=1).first()
+    assert (row.held_out, row.train_tokens, row.n_known) == (False, 4, 4)
+
+
+def test_lm_beats_unigram_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = lm_scoring.scored(docs, WORDS).where("held_out").select("doc_id", "score").collect()
+    train = docs.where("crc32(cast(cast(doc_id as string) as binary)) % 7 != 2").toPandas()
+    subwords = lm_scoring.Subwords(WORDS)
+    counts = np.ones(subwords.size)
+    for t in train.text:
+        counts += np.bincount(subwords.sequence(lm_scoring.words(t))[1:], minlength=subwords.size)
+    logs = np.log10(counts / counts.sum())
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    plain = sum(logs[subwords.sequence(lm_scoring.words(texts[r.doc_id]))[1:]].sum() for r in rows)
+    assert rows and sum(r.score for r in rows) > 0.97 * plain     # log10 values are negative
 
 
 def test_lm_rare_id_keeps_its_update():
@@ -105,3 +121,24 @@ def test_token_offsets_come_from_the_directory(spark, docs, tmp_path):
     except Exception:
         return      # what lies behind the entry does not fit any more
     assert bad != token_files.read(spark, str(tmp_path / "good")).collect()
+
+
+def test_many_secrets_in_one_text(spark):
+    docs = spark.createDataFrame([(n, " ".join(f"é{i % 7} {i:016x}" for i in range(n))) for n in (63, 64, 65, 32_000)],
+                                 "doc_id bigint, text string")
+    for row in secret_scans.scanned(docs).collect():
+        own = row.spans.split(",")
+        assert row.n_hex == len(own) == row.doc_id
+        assert own == [f"hex:{20 * i + 3}:{20 * i + 19}" for i in range(row.doc_id)]
+    for row in secret_scans.masked(docs).collect():
+        assert row.text == " ".join(f"é{i % 7} [secret]" for i in range(row.doc_id))
+
+
+def test_copies_of_one_row_give_their_runs_once(spark):
+    text = " ".join(f"word{i * i % 1009} and{i}" for i in range(200))
+    docs = spark.createDataFrame([(1, text)] * 2000 + [(2, "short")], "doc_id bigint, text string")
+    assert all(len(r.runs) <= len(text) for r in substring_dedup.repeated(docs).collect())
+    got = substring_dedup.deduplicated(docs).collect()
+    assert len(got) == 2001
+    for r in got:
+        assert (r.n_removed, r.n_spans) == ((len(text), 1) if r.doc_id == 1 else (0, 0))
