@@ -335,6 +335,24 @@ def test_quality_counts(spark, docs):
         assert not (g.kept and g.base_failed)
 
 
+def test_quality_windows_that_share_cut_hashes(spark):
+    # equal in all bits but the top ones: alike after the cut, in an order that alternates
+    top = 1 << 62
+    cases = [[5, 5 + top, 5, 5 + top], [5, 5 + top, 7, 5 - top], [5, 5 + top, 5 - top, 5], [1, 2, 1], [9], [], None]
+    df = spark.createDataFrame(list(enumerate(cases)), "id int, q_gram array<bigint>").withColumn("q_bits", F.lit(4))
+    got = {r.id: r.q_at for r in quality_rules.twin_positions(df).collect()}
+    for n, case in enumerate(cases):
+        want = case and [i for i, h in enumerate(case) if case.count(h) > 1]
+        assert got[n] == want, case
+
+
+def test_quality_common_words_of_any_length(spark):
+    docs = spark.createDataFrame([(1, "extraordinary " * 9 + "a b c", "en"), (2, None, "en"), (3, "a", None)],
+                                 "doc_id int, text string, lang string")
+    got = {r.q_lang: r.q_common for r in quality_rules.common_words(docs, 2).collect()}
+    assert got == {"en": ["extraordinary", "a"], quality_rules.NO_LANG: ["a"]}
+
+
 def test_quality_rejects_strange_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     noise = " ".join("zq#x9 |" for _ in range(20)) + " " + " ".join(f"w{i}#k{i * 7}" for i in range(200))

@@ -102,7 +102,7 @@ QUERIES = {
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": oracle.DECONTAMINATE,
     "op10_quality_rules": oracle.quality(
-        quality_rules.COMMON_WORDS, quality_rules.MAX_COMMON_LENGTH, quality_rules.MIN_JUDGED_WORDS,
+        quality_rules.COMMON_WORDS, quality_rules.MIN_JUDGED_WORDS,
         quality_rules.MIN_CHARS, quality_rules.MAX_WORD_DISTANCE, quality_rules.MAX_CLASS_DISTANCE),
     "op11_nearest": oracle.NEAREST,
     "op13_collocations": oracle.collocations(collocations.MIN_COUNT, collocations.ABSORBED, collocations.TOP),

@@ -49,7 +49,7 @@ def _share_distance(rows: str) -> str:
   GROUP BY doc_id"""
 
 
-def quality(k: int, longest: int, min_words: int, min_chars: int, word_limit: float, class_limit: float) -> str:
+def quality(k: int, min_words: int, min_chars: int, word_limit: float, class_limit: float) -> str:
     return rf"""
 WITH d AS (
   SELECT doc_id, coalesce(lang, 'none') AS lang, coalesce(text, '') AS text,
@@ -65,7 +65,7 @@ words AS (SELECT doc_id, lang, unnest(w) AS word FROM d),
 common AS (
   SELECT lang, word, rank FROM (
     SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, word) AS rank
-    FROM words WHERE length(word) <= {longest} GROUP BY lang, word) WHERE rank <= {k}
+    FROM words GROUP BY lang, word) WHERE rank <= {k}
 ),
 counted AS (SELECT doc_id, rank, count(*) AS c FROM words JOIN common USING (lang, word) GROUP BY doc_id, rank),
 hist AS (

@@ -5,12 +5,14 @@ no word ever leaves its row except in the corpus-wide word count.
 
 * Base rules: too few words, or too many words inside repeated 5-word windows.
 * Method: the histogram of character classes and the histogram of the language's most
-  common words are compared with the reference of the document's language (totals over
+  common words (of any length) are compared with the reference of the document's language (totals over
   all documents of that language) by the Jensen-Shannon distance (base 2, 0 to 1).
   Minimum lengths guard both: short texts have noisy histograms and are not judged.
 
 Null text: no words, so ``base_failed``.  Null ``lang`` is a language of its own.  Repeated
-rows are judged each; an empty table gives no rows; further columns are ignored.
+rows are judged each; an empty table gives no rows; further columns are ignored.  Equal
+counts of common words are ranked by the word.  A very long text is one row: its window
+hashes are sorted in place, so the work grows with n log n of its words.
 """
 
 from __future__ import annotations
@@ -28,7 +30,6 @@ WINDOW = 5
 
 #: Method parameters.
 COMMON_WORDS = 20          # words in a language's reference histogram
-MAX_COMMON_LENGTH = 5      # code points of a common (function) word
 MIN_CHARS = 200            # below: character classes are not judged
 MIN_JUDGED_WORDS = 60      # below: common words are not judged
 MAX_CLASS_DISTANCE = 0.30
@@ -39,6 +40,46 @@ BROADCAST_LANGS = 10_000   # rows of a few hundred bytes each: some MB at most
 CLASSES = ("lower", "space", "upper", "digit", "point", "letter", "other")
 
 
+def twin_positions(df: DataFrame) -> DataFrame:
+    """``q_at``: positions of the hashes in ``q_gram`` that occur there more than once, in
+    order.  ``q_bits``: bits that hold any position.
+
+    Position and hash share one long, so that a sort of primitives brings equal hashes
+    together; that cuts the top bits off the hash.  Where two different hashes then share
+    what is left (neighbours after the sort), whole hashes are sorted with their positions.
+    """
+    df = df.withColumn("q_sort", F.sort_array(F.transform(
+        "q_gram", lambda h, i: F.call_function("shiftleft", h, F.col("q_bits")).bitwiseOR(i.cast("long")))))
+    df = df.withColumn("q_mask", F.call_function("shiftleft", F.lit(1).cast("long"), F.col("q_bits")) - 1)
+
+    def gram_at(packed: Column) -> Column:
+        return F.get(F.col("q_gram"), packed.bitwiseAND(F.col("q_mask")).cast("int"))
+
+    def cut(packed: Column) -> Column:
+        return F.call_function("shiftrightunsigned", packed, F.col("q_bits"))
+
+    def clash(x: Column, i: Column) -> Column:
+        after = F.get(F.col("q_sort"), i + 1)
+        return F.coalesce((cut(x) == cut(after)) & (gram_at(x) != gram_at(after)), F.lit(False))
+
+    def twin(x: Column, i: Column) -> Column:
+        mine = gram_at(x)
+        return (F.coalesce(mine == gram_at(F.get(F.col("q_sort"), i - 1)), F.lit(False))
+                | F.coalesce(mine == gram_at(F.get(F.col("q_sort"), i + 1)), F.lit(False)))
+
+    df = df.withColumn("q_clash", F.exists(F.transform("q_sort", clash), lambda x: x))
+    df = df.withColumn("q_whole", F.when(F.col("q_clash"), F.sort_array(F.transform(
+        "q_gram", lambda h, i: F.struct(h.alias("h"), i.cast("long").alias("i"))))))
+
+    def whole_twin(x: Column, i: Column) -> Column:
+        return (F.coalesce(x["h"] == F.get(F.col("q_whole"), i - 1)["h"], F.lit(False))
+                | F.coalesce(x["h"] == F.get(F.col("q_whole"), i + 1)["h"], F.lit(False)))
+
+    return df.withColumn("q_at", F.sort_array(
+        F.when(F.col("q_clash"), F.transform(F.filter("q_whole", whole_twin), lambda x: x["i"]))
+        .otherwise(F.transform(F.filter("q_sort", twin), lambda x: x.bitwiseAND(F.col("q_mask"))))))
+
+
 def with_counts(docs: DataFrame) -> DataFrame:
     """``docs`` plus words and the contract's counts (columns prefixed ``q_``)."""
     text = F.col("text")
@@ -54,21 +95,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
     # most documents repeat no window: one hash set tells, and only the others are sorted
     df = df.withColumn("q_gram", F.when(F.size(F.array_distinct("q_gram")) < F.size("q_gram"), F.col("q_gram")))
     df = df.withColumn("q_bits", F.length(F.bin(F.col("q_n"))))
-    df = df.withColumn("q_sort", F.sort_array(F.transform(
-        "q_gram", lambda h, i: F.call_function("shiftleft", h, F.col("q_bits")).bitwiseOR(i.cast("long")))))
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("q_bits")) - 1
-    df = df.withColumn("q_mask", mask)
-
-    def gram_at(packed: Column) -> Column:
-        return F.get(F.col("q_gram"), packed.bitwiseAND(F.col("q_mask")).cast("int"))
-
-    def twin(x: Column, i: Column) -> Column:
-        mine = gram_at(x)
-        return (F.coalesce(mine == gram_at(F.get(F.col("q_sort"), i - 1)), F.lit(False))
-                | F.coalesce(mine == gram_at(F.get(F.col("q_sort"), i + 1)), F.lit(False)))
-
-    df = df.withColumn("q_at", F.sort_array(F.transform(
-        F.filter("q_sort", twin), lambda x: x.bitwiseAND(F.col("q_mask")))))
+    df = twin_positions(df)
     df = df.withColumn("q_repeat", F.coalesce(F.aggregate(
         F.transform("q_at", lambda p, i: F.least(
             F.lit(WINDOW).cast("long"), F.coalesce(F.get(F.col("q_at"), i + 1) - p, F.lit(WINDOW).cast("long")))),
@@ -77,7 +104,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
     return (df
             .withColumn("q_lines", lines)
             .withColumn("q_dup_lines", F.coalesce(F.size("q_lines") - F.size(F.array_distinct("q_lines")), F.lit(0)))
-            .drop("q_gram", "q_sort", "q_at", "q_lines", "q_bits", "q_mask"))
+            .drop("q_gram", "q_sort", "q_at", "q_lines", "q_bits", "q_mask", "q_clash", "q_whole"))
 
 
 def _class_counts(df: DataFrame) -> DataFrame:
@@ -113,14 +140,12 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def common_words(docs: DataFrame, k: int = COMMON_WORDS) -> DataFrame:
-    """The ``k`` most frequent short words of each language over all documents (ties: by word).
+    """The ``k`` most frequent words of each language over all documents (ties: by word).
 
-    Function words are short in every language with spaces; the length bound keeps the
-    partial counts small, since long words are the many rare ones.
+    Counts are combined in the task before the shuffle, so a frequent word is one row a task.
     """
     counts = (docs.select(F.coalesce("lang", F.lit(NO_LANG)).alias("q_lang"),
                           F.explode(words_of(F.col("text"))).alias("q_word"))
-              .where(F.length("q_word") <= MAX_COMMON_LENGTH)
               .groupBy("q_lang", "q_word").count())
     rank = Window.partitionBy("q_lang").orderBy(F.desc("count"), "q_word")
     return (counts.withColumn("q_rank", F.row_number().over(rank)).where(F.col("q_rank") <= k)
@@ -155,7 +180,7 @@ def features(docs: DataFrame, k: int = COMMON_WORDS, with_text: bool = False) ->
     """Counts and both histograms of each document; ``q_row`` holds its columns (without
     the text unless asked for).
 
-    The references hold one row of ``k`` short words per language.  While they are at most
+    The references hold one row of ``k`` words per language.  While they are at most
     ``BROADCAST_LANGS`` rows (counted) they are broadcast, so no text moves; with more,
     Spark joins by shuffle and splits skewed languages.
     """
