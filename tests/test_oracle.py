@@ -20,7 +20,7 @@ def con():
 def test_every_key_has_an_oracle():
     own = {**entry.BATCH_QUERIES, **entry.STREAM_QUERIES}
     assert set(own) <= set(QUERIES) and set(own) <= set(ORACLE)
-    assert len(own) == 43
+    assert len(own) == 46
 
 
 def test_replays_cut_nothing(spark):

@@ -9,7 +9,7 @@ semi join that splits hot groups.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txwatch import config
@@ -52,13 +52,18 @@ def windowed(tx: DataFrame, window: str = config.TRAVEL_WINDOW) -> DataFrame:
 
 
 def travel_groups(tx: DataFrame, window: str = config.TRAVEL_WINDOW) -> DataFrame:
-    """One row per (user, window): its set of countries and its row count."""
+    """One row per flagged (user, window): its set of countries and its row count."""
+    whole = Window.partitionBy(*GROUP_KEYS)
     return (
         windowed(tx, window)
         # one row per country first (hash aggregation with partials), so that the list
         # of a group holds each country once and never grows with its rows
         .groupBy(*GROUP_KEYS, "country")
         .agg(F.count(F.lit(1)).alias("n"))
+        # one row per country; a window over the keys that the last step groups by, so both
+        # need one shuffle, and only flagged groups are ever collected
+        .withColumn("several", F.min("country").over(whole) < F.max("country").over(whole))
+        .where("several")
         .groupBy(*GROUP_KEYS)
         .agg(
             F.collect_list("country").alias("country_set"),
@@ -90,7 +95,6 @@ def travel_windows(tx: DataFrame, window: str = config.TRAVEL_WINDOW) -> DataFra
     countries = F.sort_array(F.col("country_set"))
     return (
         travel_groups(tx, window)
-        .where(F.size("country_set") > 1)
         .select(
             "user_id",
             "window_start",

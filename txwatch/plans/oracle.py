@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from txwatch.plans.catalog import RECENT_K, WINDOW_END
 from txwatch.operators.reconcile import window_bounds
+from txwatch.sources.events_feed import DAYS, FIRST_DAY, INSTALMENTS
 
 W_START, W_END = window_bounds(WINDOW_END)
 
@@ -343,6 +344,22 @@ FROM report_rows"""
                             ("stored_reconcile_windows", "reconcile_all_windows"),
                             ("stored_recent_alerts", "recent_alerts")):
         q[stored] = q[scanned]
+    q["stream_last_location"], q["stream_flag_rate"] = q["last_location"], q["flag_rate"]
+    q["stream_late"] = _with() + f"""
+, fed AS (
+  SELECT *, greatest(0, least({INSTALMENTS - 1},
+              CAST(floor(date_diff('day', DATE '{FIRST_DAY}', CAST(event_timestamp AS DATE)) / {DAYS}) AS INTEGER)))
+            + CASE WHEN CAST(regexp_extract(location, 'City-([0-9]+),', 1) AS INTEGER) % 16 = 5 THEN 1 ELSE 0 END AS part
+  FROM txc
+),
+reached AS (
+  SELECT p.part, date_trunc('milliseconds', max(f.event_timestamp)) - INTERVAL 5 MINUTE AS watermark
+  FROM (SELECT DISTINCT part FROM fed) p JOIN fed f ON f.part < p.part GROUP BY p.part
+)
+SELECT transaction_id, user_id, event_timestamp, merchant_category, amount, location, currency,
+       'window closed before the row came' AS late_reason, watermark
+FROM fed JOIN reached USING (part)
+WHERE time_bucket(INTERVAL 10 MINUTE, event_timestamp) + INTERVAL 10 MINUTE <= watermark"""
     q["stream_validated"] = _with() + f"""
 SELECT transaction_id, user_id, event_timestamp, merchant_category, CAST(amount AS DOUBLE) AS amount,
        location, currency

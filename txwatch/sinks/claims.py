@@ -42,6 +42,16 @@ def put_if_absent(spark: SparkSession, path: str, text: str = "") -> bool:
     return True
 
 
+def put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, in place of one that is there."""
+    target, fs = hadoop(spark, path)
+    out = fs.create(target, True)
+    try:
+        out.write(text.encode("utf-8"))
+    finally:
+        out.close()
+
+
 def names(spark: SparkSession, folder: str) -> list[str]:
     """Names in a folder, sorted; none if it does not exist."""
     target, fs = hadoop(spark, folder)

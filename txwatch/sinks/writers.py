@@ -38,8 +38,10 @@ def batch_bounds(batch: DataFrame, partition_col: str, time_col: str) -> dict:
     batch are few (bounded by the batch's time span), so fetching them is cheap.
     """
     row = batch.agg(F.collect_set(partition_col).alias("values"),
-                    F.min(time_col).alias("lo"), F.max(time_col).alias("hi")).first()
-    return {"values": list(row["values"] or []), "lo": row["lo"], "hi": row["hi"]}
+                    F.min(time_col).alias("lo"), F.max(time_col).alias("hi"),
+                    F.unix_millis(F.min(time_col)).alias("lo_ms"),
+                    F.unix_millis(F.max(time_col)).alias("hi_ms")).first()
+    return {**row.asDict(), "values": list(row["values"] or [])}
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from txwatch.plans.catalog import RECENT_K
 from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
 from txwatch.session import configure, shared_dir
 from txwatch.sources import events_feed
-from txwatch.streaming import detector, stored_reports
+from txwatch.streaming import detector, stored_reports, user_activity
 
 FEED_CLOCK = detector.event_time_clock(
     {"detected_at": 1, "batch_processed_at": 2, "ingested_at": 0})
@@ -81,6 +81,42 @@ def stream_rejected(spark, sf_dir):
     return detector.read_rejected(spark, sinks)
 
 
+def stream_late(spark, sf_dir):
+    """The feed in instalments, some messages an instalment late, through the ledger query:
+    the stored rows whose travel window had closed."""
+    root = shared_dir(spark, "txwatch-stream")
+    sinks = detector.SinkPaths(f"{root}/tables")
+    configure(spark)
+    events = events_feed.read_events(spark, sf_dir)
+    arrival = events_feed.instalment()
+    for n in range(events_feed.INSTALMENTS + 1):
+        # each run of the query takes what has come as one micro-batch
+        events.where(arrival == n).write.mode("overwrite").parquet(f"{root}/inbox/part={n}")
+        tx = events_feed.transactions_from_events(
+            spark.readStream.schema(events.schema).option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").parquet(f"{root}/inbox"))
+        detector.start_ledger(tx, sinks, f"{root}/checkpoints/ledger", clock=FEED_CLOCK,
+                              available_now=True).awaitTermination()
+    return amounts_as_double(detector.read_late(spark, sinks).drop("event_date"))
+
+
+def _activity(spark, sf_dir) -> str:
+    root = shared_dir(spark, "txwatch-stream")
+    user_activity.start_activity(feed_stream(spark, sf_dir), f"{root}/user_windows", f"{root}/checkpoints/activity",
+                                 available_now=True).awaitTermination()
+    return f"{root}/user_windows"
+
+
+def stream_last_location(spark, sf_dir):
+    """Last location per user from the running state's groups."""
+    return user_activity.last_location(spark, _activity(spark, sf_dir))
+
+
+def stream_flag_rate(spark, sf_dir):
+    """Share of flagged transactions from the running state's groups."""
+    return user_activity.flag_rate(spark, _activity(spark, sf_dir))
+
+
 def _refreshed(spark, sf_dir):
     sinks = run_feed(spark, sf_dir)
     stored_reports.refresh(spark, sinks)
@@ -107,6 +143,9 @@ STREAM_QUERIES = {
     "stream_high_value": stream_high_value,
     "stream_validated": stream_validated,
     "stream_travel": stream_travel,
+    "stream_late": stream_late,
+    "stream_last_location": stream_last_location,
+    "stream_flag_rate": stream_flag_rate,
     "stored_fraud_by_category": stored_fraud_by_category,
     "stored_reconcile_windows": stored_reconcile_windows,
     "stored_recent_alerts": stored_recent_alerts,

@@ -26,7 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType, TimestampType
 
 from txwatch import config, schema
 from txwatch.functions.columns import country_of, is_high_value, is_validated, window_start
@@ -39,6 +39,8 @@ from txwatch.sinks.writers import (
     batch_bounds, insert_or_ignore_parquet, publish_batch, read_folders, read_table, table_exists,
 )
 from txwatch.session import ship_package
+from txwatch.streaming import late_rows
+from txwatch.streaming.late_rows import interval_ms
 from txwatch.streaming.metrics import BatchMetricsListener, observed, observed_travel
 from txwatch.streaming.stored_reports import note_days
 from txwatch.streaming.travel_state import OUTPUT_SCHEMA, TravelProcessor
@@ -52,6 +54,9 @@ def _dated(table: StructType) -> StructType:
 RAW_STREAM_SCHEMA = _dated(schema.RAW_TABLE)
 ALERT_STREAM_SCHEMA = _dated(schema.ALERT_TABLE)
 VALIDATED_STREAM_SCHEMA = _dated(schema.VALIDATED_TABLE)
+LATE_STREAM_SCHEMA = _dated(StructType([
+    *[schema.RAW_TABLE[c] for c in LEDGER_COLUMNS],
+    StructField("late_reason", StringType(), True), StructField("watermark", TimestampType(), True)]))
 
 # A clock gives the value of a stored time column ("detected_at",
 # "batch_processed_at" or "ingested_at") for the rows being written.
@@ -70,12 +75,6 @@ def event_time_clock(offsets_minutes: dict[str, int]) -> Clock:
     return clock
 
 
-def interval_ms(duration: str) -> int:
-    n, unit = duration.split()
-    factor = {"second": 1_000, "minute": 60_000, "hour": 3_600_000}[unit.rstrip("s")]
-    return int(n) * factor
-
-
 @dataclass
 class SinkPaths:
     root: str
@@ -84,6 +83,8 @@ class SinkPaths:
     raw: str = field(init=False)
     feed: str = field(init=False)
     rejected: str = field(init=False)
+    late: str = field(init=False)
+    marks: str = field(init=False)
     keys: str = field(init=False)
     notes: str = field(init=False)
     by_category: str = field(init=False)
@@ -98,6 +99,9 @@ class SinkPaths:
         self.feed = f"{base}/_feeds/raw_batches"
         # messages no table can hold, one folder per micro-batch
         self.rejected = f"{base}/rejected_transactions"
+        # rows whose travel window had closed, and the event time each batch reached
+        self.late = f"{base}/late_transactions"
+        self.marks = f"{base}/_marks/ledger"
         # every stored transaction_id with its event time (sinks.key_index)
         self.keys = f"{base}/_keys/transactions"
         # days touched since the reports' partials were refreshed, and the partials
@@ -178,7 +182,9 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         if table_exists(spark, folder) or not refused.isEmpty():
             refused.write.mode("overwrite").parquet(folder)
         bounds = batch_bounds(rows, "event_date", "event_timestamp")
+        before = late_rows.latest_before(spark, sinks.marks, batch_id)
         if bounds["lo"] is None:
+            late_rows.note_latest(spark, sinks.marks, batch_id, before, None)
             return
         sink = dict(partition_col="event_date", time_col="event_timestamp",
                     bounds=bounds, deduplicated=True)
@@ -196,9 +202,17 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         raw = rows.select(*LEDGER_COLUMNS, *keep)
         raw = raw.withColumn("ingested_at", clock("ingested_at"))
         insert_or_ignore_parquet(raw, sinks.raw, ["transaction_id"], **sink)
-        # the batch's storable rows, published whole for the travel query once they are
-        # stored (replayed ones included: they only repeat countries already counted)
+        # the batch's storable rows whose window is open, published whole for the travel
+        # query once they are stored (replayed ones included: they only repeat countries
+        # already counted); new rows of closed windows go to the late table
+        watermark = late_rows.watermark_ms(before)
+        if late_rows.any_late(bounds["lo_ms"], watermark):
+            late = rows.where(F.col("known_time").isNull()).select(*LEDGER_COLUMNS, *keep)
+            insert_or_ignore_parquet(late_rows.side_output(late, watermark), sinks.late,
+                                     ["transaction_id"], **sink)
+            raw = raw.where(~late_rows.window_closed(watermark))
         publish_batch(raw, sinks.feed, batch_id)
+        late_rows.note_latest(spark, sinks.marks, batch_id, before, bounds["hi_ms"])
         note_days(spark, sinks.notes, "ledger", batch_id, bounds["values"])
         # last, so that a retry after a crash still finds its rows missing or equal
         index.add(rows.where(F.col("known_time").isNull()))
@@ -255,6 +269,13 @@ def read_rejected(spark, sinks: SinkPaths) -> DataFrame:
     return read_table(spark, sinks.rejected, stored).drop("batch_id").distinct()
 
 
+def read_late(spark, sinks: SinkPaths) -> DataFrame:
+    """Stored rows that came after their travel window had closed."""
+    if not table_exists(spark, sinks.late):
+        return spark.createDataFrame([], LATE_STREAM_SCHEMA)
+    return read_table(spark, sinks.late, LATE_STREAM_SCHEMA)
+
+
 def read_validated(spark, sinks: SinkPaths) -> DataFrame:
     return read_table(spark, sinks.validated, VALIDATED_STREAM_SCHEMA)
 
