@@ -26,8 +26,11 @@ from pyspark.sql.types import StructType
 
 from txwatch.sinks.claims import hadoop, names, put_if_absent, text_of
 
-#: Keys of a batch that are compared with fences one by one and pushed into the scan.
+#: Keys of a batch that are compared with fences one by one and filter the scan.
 LOOKUP_KEYS = 10_000
+#: Of these, keys pushed down one by one; more are pushed as their range.  Parquet nests one
+#: level per key, and some thousand levels overflow a task's stack.
+PUSH_KEYS = 256
 PUSH_DOWN = "spark.sql.parquet.pushdown.inFilterThreshold"
 
 
@@ -97,8 +100,8 @@ class KeyIndex:
             return self.spark.createDataFrame([], self.schema)
         stored = self.spark.read.schema(self.schema).parquet(*files)
         if few:
-            if int(self.spark.conf.get(PUSH_DOWN, "10")) < LOOKUP_KEYS:
-                self.spark.conf.set(PUSH_DOWN, str(LOOKUP_KEYS))
+            if int(self.spark.conf.get(PUSH_DOWN, "10")) < PUSH_KEYS:
+                self.spark.conf.set(PUSH_DOWN, str(PUSH_KEYS))
             stored = stored.where(F.col(self.key).isin(own))
         return stored.distinct()
 
