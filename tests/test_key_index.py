@@ -95,3 +95,11 @@ def test_numbers_are_claimed_once(spark, tmp_path):
         got = list(pool.map(lambda _: claims.next_number(spark, folder), range(24)))
     assert sorted(got) == list(range(1, 25))
     assert claims.next_number(spark, folder, above=100) == 101
+
+
+def test_thousands_of_ids_overflow_no_stack(spark, tmp_path):
+    index = KeyIndex(spark, str(tmp_path / "many"), SCHEMA, 100_000)
+    rows = spark.range(9_000).selectExpr("concat('t', lpad(id, 6, '0')) AS transaction_id",
+                                         "timestamp_seconds(id) AS event_timestamp")
+    index.add(rows)
+    assert index.known(rows.where("event_timestamp >= timestamp_seconds(500)")).count() == 8_500
