@@ -1,8 +1,12 @@
 """The operators do the whole job: nothing is cut to save time."""
+import math
+import zlib
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 
-from txwatch.llm import language_id, license_scans, lm_scoring, secret_scans, substring_dedup, token_files
+from txwatch.llm import catalog, language_id, license_scans, lm_scoring, secret_scans, substring_dedup, token_files
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -37,6 +41,25 @@ def test_lm_learns_from_rows_without_id(spark):
     assert (row.held_out, row.train_tokens, row.n_known) == (False, 4, 4)
 
 
+def test_lm_query_base_score(spark, tmp_path):
+    texts = {0: "One two two \x0bthree", 1: None, 6: "two four  UNSEEN", 3: "", 4: "\u00c9t\u00e9 one", 9: "seven two"}
+    docs = [*texts.items(), (0, texts[0])]                   # one row comes twice
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    tokens = {k: [w.lower() if w.isascii() else w for w in (t or "").split()] + [""] for k, t in texts.items()}
+    held = {k: zlib.crc32(str(k).encode()) % 7 == 2 for k in texts}
+    assert 0 < sum(held.values()) < len(held)
+    count = Counter(w for k, _ in docs if not held[k] for w in tokens[k])
+    n, v = sum(count.values()), len(count)
+    got = catalog.op6_lm_scoring(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in got) == sorted(k for k, _ in docs)
+    for r in got:
+        own = tokens[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (
+            held[r.doc_id], len(own), sum(count[w] > 0 for w in own), n)
+        want = sum(math.log10((count[w] + 1) / (n + 1 * (v + 1))) for w in own)
+        assert math.isclose(r.base_score, want, rel_tol=1e-9)
+
+
 def test_lm_beats_unigram_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = lm_scoring.scored(docs, WORDS).where("held_out").select("doc_id", "score").collect()
