@@ -50,3 +50,7 @@ RECONCILIATION_HEADERS = [
 HOT_GROUP_ROWS = 1_000_000
 # Keys in one file of the speed layer's key index.
 KEYS_PER_FILE = 4_000_000
+# Rows in one time slice of a large micro-batch (a task of the sinks, a file of the feed).
+ROWS_PER_SLICE = 500_000
+# What the travel query takes from the feed at once, per core: bounds its state.
+FEED_BYTES_PER_CORE = 2 << 20

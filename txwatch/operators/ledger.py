@@ -25,6 +25,18 @@ def conform(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame,
     Accepted amounts are rounded half-up to cents.
     """
     columns = columns or schema.LEDGER_COLUMNS
+    tagged = with_reject_reason(df, columns)
+    accepted = (
+        tagged.where(F.col("reject_reason") == "")
+        .select(*[F.col("stored_amount").alias(c) if c == "amount" else F.col(c) for c in columns])
+    )
+    rejected = tagged.where(F.col("reject_reason") != "").select(*columns, "reject_reason")
+    return accepted, rejected
+
+
+def with_reject_reason(df: DataFrame, columns: list[str]) -> DataFrame:
+    """All rows with ``reject_reason`` (empty: accepted) and, where ``amount`` is among the
+    columns, ``stored_amount``."""
     if "currency" in columns and "currency" not in df.columns:
         df = df.withColumn("currency", F.lit(config.DEFAULT_CURRENCY))
     stored_amount = F.expr(f"try_cast(amount AS {config.MONEY_TYPE})")
@@ -40,15 +52,8 @@ def conform(df: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame,
         if limit:
             check = check.when(F.length(c) > limit, F.lit(f"{c} longer than {limit}"))
         checks.append(check)
-    reason = F.concat_ws(";", *checks)
-
-    tagged = df.withColumn("reject_reason", reason)
-    accepted = (
-        tagged.where(F.col("reject_reason") == "")
-        .select(*[stored_amount.alias(c) if c == "amount" else F.col(c) for c in columns])
-    )
-    rejected = tagged.where(F.col("reject_reason") != "").select(*columns, "reject_reason")
-    return accepted, rejected
+    df = df.withColumn("reject_reason", F.concat_ws(";", *checks))
+    return df.withColumn("stored_amount", stored_amount) if "amount" in columns else df
 
 
 def insert_or_ignore(new: DataFrame, target: DataFrame, key: str = "transaction_id") -> DataFrame:

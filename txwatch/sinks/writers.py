@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +40,8 @@ def batch_bounds(batch: DataFrame, partition_col: str, time_col: str) -> dict:
     """
     row = batch.agg(F.collect_set(partition_col).alias("values"),
                     F.min(time_col).alias("lo"), F.max(time_col).alias("hi"),
-                    F.unix_millis(F.min(time_col)).alias("lo_ms"),
-                    F.unix_millis(F.max(time_col)).alias("hi_ms")).first()
+                    F.unix_millis(F.min(time_col).cast("timestamp")).alias("lo_ms"),
+                    F.unix_millis(F.max(time_col).cast("timestamp")).alias("hi_ms")).first()
     return {**row.asDict(), "values": list(row["values"] or [])}
 
 
@@ -134,6 +135,9 @@ def publish_batch(rows: DataFrame, feed_root: str, batch_id: int) -> None:
     skipped by file listings) and the folder is then renamed to ``batch_id=N``, so a
     reader lists either none or all of the batch's files.  A retried batch replaces
     its folder.  Folder rename has to be atomic: object stores without it are refused.
+
+    File streams list files by their time.  A batch's files get rising times in the order of
+    the partitions, after those of the batches that are still in the feed.
     """
     spark = rows.sparkSession
     root = feed_root.rstrip("/")
@@ -144,12 +148,33 @@ def publish_batch(rows: DataFrame, feed_root: str, batch_id: int) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(f"{root}/batch_id={batch_id}")
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    own = sorted((f.getPath() for f in fs.listStatus(jvm.org.apache.hadoop.fs.Path(staging))
+                  if f.getPath().getName().startswith("part-")), key=lambda path: path.getName())
+    waiting = [f.getModificationTime()
+               for folder in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root}/batch_id=*")) or []
+               for f in fs.listStatus(folder.getPath())]
+    first = max([int(time.time() * 1000), *(at + 1 for at in waiting)])
+    for i, path in enumerate(own):
+        fs.setTimes(path, first + i, -1)
     if fs.exists(target):
         fs.delete(target, True)
     if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
         raise IOError(f"could not publish micro-batch {batch_id} to {target}")
 
 
+def move_folder(spark: SparkSession, folder: str, target: str) -> None:
+    """Rename a folder; one that does not exist becomes an empty target."""
+    jvm = spark.sparkContext._jvm
+    source, to = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(target)
+    fs = to.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(source):
+        fs.mkdirs(to)
+        return
+    fs.mkdirs(to.getParent())
+    if not fs.rename(source, to):
+        raise IOError(f"could not move {folder} to {target}")
+
+
 def write_warehouse(validated_window: DataFrame, root: str, window_start) -> None:
     """One batch window into the warehouse: date= and hour= of the window start.
 

@@ -122,15 +122,22 @@ KEY_SCHEMA = StructType([
 SECOND_TIME = "transaction_id already stored with another event_timestamp"
 
 
-def _accepted_and_rejected(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Storable rows (amounts in cents; flags of the row rules, which look at the amount
-    as sent) and rejects.  Constraints come before any cast, alert or dedup."""
-    columns = LEDGER_COLUMNS + ["is_high", "is_valid"]
-    flagged = batch.withColumns({
-        "is_high": F.coalesce(is_high_value("amount"), F.lit(False)),
-        "is_valid": F.coalesce(is_validated("amount"), F.lit(False))})
-    accepted, rejected = ledger.conform(flagged, columns)
-    return accepted, rejected.drop("is_high", "is_valid")
+def _judged(batch: DataFrame) -> DataFrame:
+    """The batch's distinct rows as they can be stored (amounts in cents, flags of the row
+    rules, which look at the amount as sent) or as they were sent, with ``reject_reason``.
+    Constraints come before any cast, alert or dedup; copies combine before the shuffle."""
+    good = F.col("reject_reason") == ""
+    rows = ledger.with_reject_reason(batch, LEDGER_COLUMNS)
+    return rows.select(
+        *[c for c in LEDGER_COLUMNS if c != "amount"], "reject_reason",
+        F.when(good, F.col("stored_amount")).alias("stored_amount"),
+        F.when(~good, F.col("amount").cast("double")).alias("sent_amount"),
+        F.when(good, F.coalesce(is_high_value("amount"), F.lit(False))).alias("is_high"),
+        F.when(good, F.coalesce(is_validated("amount"), F.lit(False))).alias("is_valid")).distinct()
+
+
+def _amount_named(rows: DataFrame, amount: str, *more: str) -> DataFrame:
+    return rows.select(*[F.col(amount).alias(c) if c == "amount" else F.col(c) for c in LEDGER_COLUMNS], *more)
 
 
 def _first_of_each_id(rows: DataFrame) -> DataFrame:
@@ -157,31 +164,45 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
     spark = batch.sparkSession
     # Contiguous time slices per task: every task writes few files per date, and their
     # min/max statistics make later key checks cheap.  Micro-batch plans run without AQE,
-    # so the shuffle is sized to the cores of the application.
-    n = spark.sparkContext.defaultParallelism
-    batch = batch.persist()                       # read once: its source and its metrics
-    accepted, rejected = _accepted_and_rejected(batch)
-    accepted = accepted.distinct().persist()      # copies combine before the shuffle
+    # so the shuffle is sized to the cores of the application and to the batch.
+    judged = _judged(batch).persist()             # the batch is read once
+    accepted = _amount_named(judged.where(F.col("reject_reason") == ""), "stored_amount", "is_high", "is_valid")
+    refused = _amount_named(judged.where(F.col("reject_reason") != ""), "sent_amount", "reject_reason")
     index = KeyIndex(spark, sinks.keys, KEY_SCHEMA, config.KEYS_PER_FILE)
-    rows = None
+    checked = rows = None
     try:
-        first = _first_of_each_id(accepted)
-        known = index.known(accepted).withColumnRenamed("event_timestamp", "known_time")
-        checked = first.join(known, "transaction_id", "left")
-        rows = _with_event_date(
-            checked.where(F.col("known_time").isNull() | (F.col("known_time") == F.col("event_timestamp"))))
-        rows = rows.repartitionByRange(n, "event_date", "event_timestamp").persist()
-        kept_time = checked.select("transaction_id", F.coalesce("known_time", "event_timestamp").alias("kept_time"))
-        second = (accepted.join(kept_time, "transaction_id").where(F.col("event_timestamp") != F.col("kept_time"))
-                  .withColumn("reject_reason", F.lit(SECOND_TIME)))
-        refused = (rejected.withColumn("amount", F.col("amount").cast("double"))
-                   .unionByName(second.select(*[F.col(c).cast("double").alias(c) if c == "amount" else F.col(c)
-                                                for c in rejected.columns])).distinct())
+        size = accepted.count()
+        n = max(spark.sparkContext.defaultParallelism, -(-size // config.ROWS_PER_SLICE))
+        # ids with one accepted row, as a rule all of them, are their own first row
+        single = accepted.groupBy("transaction_id").count().where("count > 1").limit(1).count() == 0
+        if single and index.is_empty():
+            checked = accepted.withColumn("known_time", F.lit(None).cast("timestamp"))
+        else:
+            known = index.known(accepted).withColumnRenamed("event_timestamp", "known_time")
+            first = accepted if single else _first_of_each_id(accepted)
+            checked = first.join(known, "transaction_id", "left").persist()
+            if single:
+                second = checked.where(F.col("event_timestamp") != F.col("known_time"))
+            else:
+                kept_time = checked.select("transaction_id", F.coalesce("known_time", "event_timestamp").alias("kept_time"))
+                second = accepted.join(kept_time, "transaction_id").where(F.col("event_timestamp") != F.col("kept_time"))
+            second = second.withColumn("reject_reason", F.lit(SECOND_TIME))
+            refused = refused.unionByName(second.select(*[F.col(c).cast("double").alias(c) if c == "amount" else F.col(c)
+                                                          for c in refused.columns])).distinct()
+        refused = refused.persist()
         folder = f"{sinks.rejected}/batch_id={batch_id}"
         # one folder per micro-batch that has rejects: a retry replaces it
-        if table_exists(spark, folder) or not refused.isEmpty():
+        if refused.count() or table_exists(spark, folder):
             refused.write.mode("overwrite").parquet(folder)
+        refused.unpersist()
+        rows = _with_event_date(
+            checked.where(F.col("known_time").isNull() | (F.col("known_time") == F.col("event_timestamp"))))
+        # sorted once, for the sinks' date folders and for the feed's slices
+        rows = (rows.repartitionByRange(n, "event_date", "event_timestamp")
+                .sortWithinPartitions("event_date", "event_timestamp").persist())
         bounds = batch_bounds(rows, "event_date", "event_timestamp")
+        for done in (checked, judged):            # what is no longer read leaves the memory
+            done.unpersist()
         before = late_rows.latest_before(spark, sinks.marks, batch_id)
         if bounds["lo"] is None:
             late_rows.note_latest(spark, sinks.marks, batch_id, before, None)
@@ -217,10 +238,9 @@ def write_ledger_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
         # last, so that a retry after a crash still finds its rows missing or equal
         index.add(rows.where(F.col("known_time").isNull()))
     finally:
-        accepted.unpersist()
-        batch.unpersist()
-        if rows is not None:
-            rows.unpersist()
+        for kept in (judged, checked, refused, rows):
+            if kept is not None:
+                kept.unpersist()
 
 
 def write_travel_batch(batch: DataFrame, batch_id: int, sinks: SinkPaths,
@@ -334,11 +354,14 @@ def travel_rows_stream(tx: DataFrame, window: str = config.TRAVEL_WINDOW,
 def raw_ledger_stream(spark, sinks: SinkPaths) -> DataFrame:
     """Newly stored raw rows as a stream: the ledger's per-batch feed, where each
     micro-batch appears whole (see ``sinks.writers.publish_batch``)."""
-    # batches are read whole (a split batch would move the watermark past its own rows)
-    # and deleted once their micro-batch is committed, so the feed stays short
+    # a batch's files are slices in time order, listed in that order: wherever a micro-batch
+    # ends, the watermark stays behind the rows that are still to come, and the state holds
+    # a slice or two of a large batch instead of all its rows.  Files are deleted once their
+    # micro-batch is committed, so the feed stays short
     return (spark.readStream.schema(RAW_STREAM_SCHEMA)
             .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
             .option("cleanSource", "delete")
+            .option("maxBytesPerTrigger", config.FEED_BYTES_PER_CORE * spark.sparkContext.defaultParallelism)
             .parquet(sinks.feed)
             .withColumn("country", country_of("location")))
 
