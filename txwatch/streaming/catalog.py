@@ -16,6 +16,7 @@ from txwatch.operators.reports import amounts_as_double
 from txwatch.plans.catalog import RECENT_K
 from txwatch.schema import ALERT_COLUMNS, LEDGER_COLUMNS
 from txwatch.session import configure, shared_dir
+from txwatch.sinks.writers import move_folder
 from txwatch.sources import events_feed
 from txwatch.streaming import detector, stored_reports, user_activity
 
@@ -88,10 +89,11 @@ def stream_late(spark, sf_dir):
     sinks = detector.SinkPaths(f"{root}/tables")
     configure(spark)
     events = events_feed.read_events(spark, sf_dir)
-    arrival = events_feed.instalment()
+    # the events are dealt to their instalments in one pass
+    events.withColumn("part", events_feed.instalment()).write.partitionBy("part").parquet(f"{root}/instalments")
     for n in range(events_feed.INSTALMENTS + 1):
         # each run of the query takes what has come as one micro-batch
-        events.where(arrival == n).write.mode("overwrite").parquet(f"{root}/inbox/part={n}")
+        move_folder(spark, f"{root}/instalments/part={n}", f"{root}/inbox/part={n}")
         tx = events_feed.transactions_from_events(
             spark.readStream.schema(events.schema).option("recursiveFileLookup", "true")
             .option("pathGlobFilter", "*.parquet").parquet(f"{root}/inbox"))
