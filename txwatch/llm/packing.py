@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,24 +49,28 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     """Rows (doc_id, piece, start, length, ids_crc32, part, rank)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(tokenizer, BARE)
         end, part, seen = struct.pack("<I", end_id), TaskContext.get().partitionId(), Counter()
         for b in batches:
+            if not b.num_rows:
+                continue
+            keys, texts = b.columns
             rows = []
-            for key, text in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), b["text"]):
-                ids = (encoder.ids(text) if isinstance(text, str) else b"") + end
+            for at_row, text in enumerate(texts):         # one text at a time leaves Arrow's memory
+                ids = (encoder.ids(text.as_py()) if text.is_valid else b"") + end
                 for n, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at:at + 4 * capacity]
                     size = len(own) // 4
-                    rows.append((key, n, at // 4, size, zlib.crc32(own), part, seen[size]))
+                    rows.append((at_row, n, at // 4, size, zlib.crc32(own), seen[size]))
                     seen[size] += 1
-            out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
-            if kind in ("bigint", "int"):
-                out["doc_id"] = out["doc_id"].astype("Int64")
-            yield out
+            at_row, piece, start, length, crc, rank = (np.array(x, np.int64) for x in zip(*rows))
+            yield pa.RecordBatch.from_arrays(
+                [keys.take(pa.array(at_row)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length),
+                 pa.array(crc), pa.array(np.full(len(rank), part, np.int32)), pa.array(rank)],
+                ["doc_id", "piece", "start", "length", "ids_crc32", "part", "rank"])
 
-    return docs.select("doc_id", "text").mapInPandas(
+    return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, part int, rank bigint")
 
 
