@@ -380,3 +380,11 @@ def test_pipeline_stages(spark):
     assert not any(secret_spans(r["text"]) for r in safe.collect())
     final = corpus_pipeline.run(spark, SMALL)
     assert {r["doc_id"] for r in final.select("doc_id").distinct().collect()} == {r["doc_id"] for r in safe.collect()}
+
+
+def test_encoder_keeps_frequent_chunks():
+    encoder = Encoder(WORDS, BARE, cache=20)
+    encoder.ids("often")
+    for i in range(200):
+        encoder.ids(f"often once{i}")
+        assert len(encoder) + len(encoder.older) <= 20 and ("often" in encoder or "often" in encoder.older)
