@@ -37,6 +37,7 @@ from .tokens import BARE, worker_encoder
 
 CAPACITY = 2048
 END_ID = 0
+HELD_CHUNKS = 600_000      # chunks that a Python worker holds; an executor has several workers
 ISLANDS = 4
 EPOCHS = 2
 GENERATIONS = 4
@@ -50,7 +51,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: in
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(tokenizer, BARE)
+        encoder = worker_encoder(tokenizer, BARE, HELD_CHUNKS)
         end, part, seen = struct.pack("<I", end_id), TaskContext.get().partitionId(), Counter()
         for b in batches:
             if not b.num_rows:
