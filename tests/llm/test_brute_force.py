@@ -388,3 +388,17 @@ def test_encoder_keeps_frequent_chunks():
     for i in range(200):
         encoder.ids(f"often once{i}")
         assert len(encoder) + len(encoder.older) <= 20 and ("often" in encoder or "often" in encoder.older)
+
+
+def test_marked_words_and_line_ends_use_held_words():
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(["ab", "Cé", "\u0130x", "\u03a3", " ", " ", "\n", "  ", "\t", "\x1c", "\u3000", ",", "##", "%%%%",
+                                 "'s", "_", "<|endoftext|>"]) for _ in range(rng.randint(0, 16))) for _ in range(1500)]
+    for path, chunks in ((BYTES, SPACED), (WORDS, BARE)):
+        whole, encoder = Tokenizer.from_file(path), Encoder(path, chunks)
+        for text in texts:
+            assert np.frombuffer(encoder.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        seen, model = [], encoder.tokenize
+        encoder.tokenize = lambda piece: seen.append(piece) or model(piece)
+        encoder.ids("to wordywordy wordywordy, wordywordy### and wordywordy%%\nwordywordy. wordywordy")
+        assert sum("wordy" in piece for piece in seen) == (2 if chunks is SPACED else 1)

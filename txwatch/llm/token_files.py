@@ -126,14 +126,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID,
         def block() -> pd.DataFrame:
             return pd.DataFrame([{
                 "shard": shard, "seq": seq, "base": base, "n_ids": held, "doc_ids": keys,
-                "width": int(width[-1]), "bounds": EliasFano.encode(np.array(ends), held), "ids": b"".join(ids)}])
+                "width": int(width[-1]), "bounds": EliasFano.encode(np.array(ends), held),
+                "ids": np.frombuffer(b"".join(ids), "<u4").astype(width).tobytes()}])
 
         for b in batches:
             for key, text in zip(b["doc_id"].astype(object).where(b["doc_id"].notna(), None), b["text"]):
-                own = np.frombuffer((encoder.ids(text) if isinstance(text, str) else b"") + end, "<u4")
+                own = (encoder.ids(text) if isinstance(text, str) else b"") + end
                 keys.append(key)
-                ids.append(own.astype(width).tobytes())
-                held += len(own)
+                ids.append(own)
+                held += len(own) // 4
                 ends.append(held)
                 if held >= block_ids:
                     yield block()
