@@ -4,6 +4,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -177,6 +178,49 @@ def test_lm_gradients():
         assert math.isclose((up - down) / 2e-5, g[name][at], rel_tol=1e-3, abs_tol=1e-8)
 
 
+def _lm_batch():
+    rng = np.random.default_rng(3)
+    counts = rng.integers(0, 100, 300)
+    cls, _ = lm_scoring.classes_of(counts)
+    windows = rng.integers(0, 300, (lm_scoring.BATCH, lm_scoring.WINDOW + 1)).astype(np.int32)
+    target = np.where(rng.random((lm_scoring.BATCH, lm_scoring.WINDOW)) < 0.9, cls[windows[:, 1:]], -1)
+    return lm_scoring.initial(300, cls, counts), windows[:, :-1], target
+
+
+@pytest.mark.parametrize("name, value", [("PART", 3), ("SAFE", -1.0)])
+def test_lm_gradients_do_not_depend_on_parts_or_shifts(monkeypatch, name, value):
+    p, ids, target = _lm_batch()
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    loss, g = lm_scoring.gradients(p, ids, target)
+    monkeypatch.setattr(lm_scoring, name, value)
+    again, found = lm_scoring.gradients(p, ids, target)
+    assert math.isclose(loss, again, rel_tol=1e-12) and set(g) == set(found) == set(p)
+    assert all(np.allclose(g[k], found[k], rtol=1e-9, atol=1e-14) for k in g)
+
+
+def test_lm_large_logits():
+    p, ids, target = _lm_batch()
+    p = {k: v.astype(np.float64) * (40 if k in ("wq", "out") else 1) for k, v in p.items()}
+    loss, g = lm_scoring.gradients(p, ids, target)
+    logits, _ = lm_scoring.forward(p, ids)
+    assert np.abs(logits).max() > lm_scoring.SAFE            # these have to be shifted
+    logs = logits - np.logaddexp.reduce(logits, -1, keepdims=True)
+    own = np.take_along_axis(logs, np.maximum(target, 0)[..., None], -1)[..., 0]
+    assert math.isclose(loss, -own[target >= 0].mean(), rel_tol=1e-9)
+    assert all(np.isfinite(d).all() for d in g.values())
+
+
+def test_lm_batches_use_their_arrays_again():
+    p, ids, target = _lm_batch()
+    room = lm_scoring.Buffers()
+    lm_scoring.gradients(p, ids, target, room)
+    tracemalloc.start()
+    lm_scoring.gradients(p, ids, target, room)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < target.size * lm_scoring.CLASSES * 4 / 2   # less than half of one array of logits
+
+
 def test_lm_scores_each_id_once():
     rng = np.random.default_rng(1)
     counts = rng.integers(0, 100, 60)
