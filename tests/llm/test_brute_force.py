@@ -210,6 +210,25 @@ def test_lm_large_logits():
     assert all(np.isfinite(d).all() for d in g.values())
 
 
+def test_lm_attention_with_merged_weights():
+    """Weights that meet no bend between them are multiplied once a batch, not at each place."""
+    p, ids, target = _lm_batch()
+    p = {k: v.astype(np.float64) for k, v in p.items()}
+    width = lm_scoring.WIDTH
+    x = p["emb"][ids] + p["pos"]
+    q, k, v = (x @ p[name] for name in ("wq", "wk", "wv"))
+    a = np.where(np.tri(lm_scoring.WINDOW), np.exp(q @ k.transpose(0, 2, 1) / math.sqrt(width)), 0)
+    h = x + a / a.sum(-1, keepdims=True) @ v @ p["wo"]
+    assert np.allclose(lm_scoring.forward(p, ids)[0], h @ p["out"] + p["bias"], rtol=1e-10)
+    _, g = lm_scoring.gradients(p, ids, target)
+    rng = np.random.default_rng(9)
+    for name in ("wq", "wk", "wv", "wo"):
+        along = rng.standard_normal((width, width))
+        up, down = (lm_scoring.gradients({**p, name: p[name] + d * along}, ids, target)[0] for d in (1e-5, -1e-5))
+        assert math.isclose((up - down) / 2e-5, (g[name] * along).sum(), rel_tol=1e-5, abs_tol=1e-10)
+    assert lm_scoring._projection(p).shape == (width, 2 * width)
+
+
 def test_lm_batches_use_their_arrays_again():
     p, ids, target = _lm_batch()
     room = lm_scoring.Buffers()
